@@ -17,19 +17,20 @@ _CLEAN = "k <> 97"
 _PAGES = f"{_CLEAN} AND page_id IS NOT NULL"
 
 
-@query("parse_json", f"SELECT mid, uid, ch, page_id, during_time, ts_ms FROM page_log WHERE {_CLEAN}", ["page_log"])
+@query("parse_json", f"""
+    SELECT mid, uid, ch, page_id, CASE WHEN page_id IS NOT NULL THEN during_time END AS during_time, ts_ms
+    FROM page_log WHERE {_CLEAN}""", ["page_log"])
 def parse_json(spark, sf):
-    rows = rd.parse_json(st.log_lines(spark, sf), LOG).where("common IS NOT NULL AND ts IS NOT NULL")
-    return rows.select("common.mid", "common.uid", "common.ch", "page.page_id",
-                       "page.during_time", F.col("ts").alias("ts_ms")).withColumn(
-        "during_time", F.when(F.col("page_id").isNull(), None).otherwise(F.col("during_time")))
+    rows = rd.parse_json(st.log_topic(spark, sf), LOG).where("ts IS NOT NULL")
+    return rows.select("common.mid", "common.uid", "common.ch", "page.page_id", "page.during_time",
+                       F.col("ts").alias("ts_ms"))
 
 
 @query("parse_json_dirty_split", f"""
     SELECT row_id, CASE WHEN {_CLEAN} THEN 'clean' ELSE 'dirty' END AS kind, CASE WHEN {_CLEAN} THEN mid END AS mid
     FROM page_log""", ["page_log"])
 def parse_json_dirty_split(spark, sf):
-    clean, dirty = rd.split_dirty(st.log_lines(spark, sf), LOG)
+    clean, dirty = rd.split_dirty(st.log_topic(spark, sf), LOG)
     return clean.select("row_id", F.lit("clean").alias("kind"), "common.mid").unionByName(
         dirty.select("row_id", F.lit("dirty").alias("kind"), F.lit(None).cast("string").alias("mid")))
 
@@ -214,7 +215,7 @@ def dim_table_lifecycle(spark, sf):
 
 
 def _log_rows(spark, sf):
-    return rd.split_dirty(st.log_lines(spark, sf), LOG)[0]
+    return rd.split_dirty(st.log_topic(spark, sf), LOG)[0]
 
 
 _SPLIT = f"""

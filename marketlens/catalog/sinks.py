@@ -117,11 +117,13 @@ def sink_dim_upsert_md5(spark, sf):
 
 @query("sink_dim_delete_keys", """
     SELECT id AS row_key, sku_name FROM dim_sku_info
-    WHERE id NOT IN (SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')""", ["dim_sku_info"])
+    WHERE category3_id NOT IN (SELECT id FROM dim_base_category3 WHERE category2_id LIKE '6%')""",
+       ["dim_sku_info", "dim_base_category3"])
 def sink_dim_delete_keys(spark, sf):
-    sku = st.record(spark, sf, "dim_sku_info").select(F.col("id").alias("row_key"), "sku_name")
-    returned = st.record(spark, sf, "order_refund_info").select(F.col("sku_id").alias("row_key"))
-    return sk.delete_keys(sku, returned)
+    sku = st.record(spark, sf, "dim_sku_info").withColumnRenamed("id", "row_key")
+    closed = st.record(spark, sf, "dim_base_category3").where("category2_id LIKE '6%'")
+    keys = sku.join(closed.select(F.col("id").alias("category3_id")), "category3_id").select("row_key")
+    return sk.delete_keys(sku.select("row_key", "sku_name"), keys)
 
 
 @query("sink_olap_append", f"""

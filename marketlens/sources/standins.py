@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketlens.session import scratch
+
 DB = "retail"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -334,3 +336,21 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.to_json(F.struct("common", "page", "start", "err", "displays", "actions", "ts"))
     return log_rows(spark, sf_dir).select(
         "row_id", F.when(F.col("k") == 97, F.substring(line, 1, 25)).otherwise(line).alias("value"))
+
+
+_TOPICS: dict[tuple[str, ...], str] = {}
+
+
+def stored_topic(spark: SparkSession, label: str, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines as they lie in a topic, with ``row_id`` as offset; written once per session and read from there."""
+    key = (spark.sparkContext.applicationId, label, sf_dir)
+    if key not in _TOPICS:
+        path = scratch(spark, f"topic-{label}")
+        lines.write.parquet(path)
+        _TOPICS[key] = path
+    return spark.read.schema(lines.schema).parquet(_TOPICS[key])
+
+
+def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The client-log topic."""
+    return stored_topic(spark, "log", sf_dir, log_lines(spark, sf_dir))
