@@ -70,7 +70,7 @@ def agg_sum_multi(spark, sf):
     return win.with_window_text(rows, 10)
 
 
-_HOME = """home AS (SELECT * FROM (SELECT mid, page_id, ts_ms,
+HOME = """home AS (SELECT * FROM (SELECT mid, page_id, ts_ms,
     row_number() OVER (PARTITION BY mid, page_id, ts_ms // 86400000 ORDER BY ts_ms, row_id) AS rn
     FROM page_log WHERE page_id IN ('home', 'good_detail')) WHERE rn = 1)"""
 HOME_SQL = f"""
@@ -79,7 +79,7 @@ HOME_SQL = f"""
              count(*) FILTER (page_id <> 'home') AS good_detail_uv_ct FROM home GROUP BY 1)"""
 
 
-@query("agg_sum_global", HOME_SQL, ["page_log"], _HOME)
+@query("agg_sum_global", HOME_SQL, ["page_log"], HOME)
 def agg_sum_global(spark, sf):
     return wd.home_detail(st.record(spark, sf, "page_log"), LOG_ORDER)
 

@@ -13,13 +13,13 @@ from marketlens.sources.schemas import LOG
 
 _PAGE = "mid, uid, sid, ar, ch, vc, os, md, ba, is_new, page_id, last_page_id, item, item_type, during_time, ts_ms"
 # A cut-off line has no fields, so it parses to nulls only.
-_CLEAN = "k <> 97"
-_PAGES = f"{_CLEAN} AND page_id IS NOT NULL"
+CLEAN = "k <> 97"
+_PAGES = f"{CLEAN} AND page_id IS NOT NULL"
 
 
 @query("parse_json", f"""
     SELECT mid, uid, ch, page_id, CASE WHEN page_id IS NOT NULL THEN during_time END AS during_time, ts_ms
-    FROM page_log WHERE {_CLEAN}""", ["page_log"])
+    FROM page_log WHERE {CLEAN}""", ["page_log"])
 def parse_json(spark, sf):
     rows = rd.parse_json(st.log_topic(spark, sf), LOG).where("ts IS NOT NULL")
     return rows.select("common.mid", "common.uid", "common.ch", "page.page_id", "page.during_time",
@@ -27,7 +27,7 @@ def parse_json(spark, sf):
 
 
 @query("parse_json_dirty_split", f"""
-    SELECT row_id, CASE WHEN {_CLEAN} THEN 'clean' ELSE 'dirty' END AS kind, CASE WHEN {_CLEAN} THEN mid END AS mid
+    SELECT row_id, CASE WHEN {CLEAN} THEN 'clean' ELSE 'dirty' END AS kind, CASE WHEN {CLEAN} THEN mid END AS mid
     FROM page_log""", ["page_log"])
 def parse_json_dirty_split(spark, sf):
     clean, dirty = rd.split_dirty(st.log_topic(spark, sf), LOG)
@@ -220,8 +220,8 @@ def _log_rows(spark, sf):
 
 _SPLIT = f"""
     SELECT 'err' AS stream, row_id, mid, page_id, CAST(k + 1000 AS VARCHAR) AS detail, ts_ms FROM page_log
-    WHERE {_CLEAN} AND event_type = 'error'
-    UNION ALL SELECT 'start', row_id, mid, NULL, 'icon', ts_ms FROM page_log WHERE {_CLEAN} AND page_id IS NULL
+    WHERE {CLEAN} AND event_type = 'error'
+    UNION ALL SELECT 'start', row_id, mid, NULL, 'icon', ts_ms FROM page_log WHERE {CLEAN} AND page_id IS NULL
     UNION ALL SELECT 'display', row_id, mid, page_id, CAST(k + unnest(generate_series(1, k % 4)) AS VARCHAR), ts_ms
     FROM page_log WHERE {_PAGES}
     UNION ALL SELECT 'action', row_id, mid, page_id, 'act' || CAST(unnest(generate_series(1, k % 3)) AS VARCHAR), NULL
@@ -249,7 +249,7 @@ def split_log_streams(spark, sf):
 
 @query("split_log_streams_err_only", f"""
     SELECT row_id, CAST(k + 1000 AS VARCHAR) AS error_code, 'failed' AS msg FROM page_log
-    WHERE {_CLEAN} AND event_type = 'error'""", ["page_log"])
+    WHERE {CLEAN} AND event_type = 'error'""", ["page_log"])
 def split_log_streams_err_only(spark, sf):
     err = lg.split_log_streams(_log_rows(spark, sf), err_only=True)["err"]
     return err.select("row_id", F.col("err")["error_code"].alias("error_code"), F.col("err")["msg"].alias("msg"))

@@ -8,25 +8,18 @@ from marketlens.catalog.registry import moment, query, window
 from marketlens.operators.sinks import topic_append
 from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
+from marketlens.streaming.flows import drain
 
 _FACT = ("id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id, coupon_id, date_id, "
          "create_time, sku_num, split_original_amount, split_activity_amount, split_coupon_amount, "
          "split_total_amount, ts_ms")
 
 
-def drain(stream, spark, label):
-    """Run a stream over what there is now and return what it wrote."""
-    out, checkpoint = scratch(spark, label), scratch(spark, f"{label}-checkpoint")
-    (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(stream.schema).parquet(out)
-
-
 @query("src_json_stream", "SELECT id, user_id, order_status, op, ts_ms FROM order_info", ["order_info"])
 def src_json_stream(spark, sf):
     path = scratch(spark, "topic")
     topic_append(st.change_lines(spark, sf, "order_info"), path)
-    rows = drain(rd.line_stream(spark, path), spark, "src_json_stream")
+    rows = drain(rd.line_stream(spark, path), scratch(spark, "lines"), scratch(spark, "checkpoint"))
     a = F.col("after")
     return rd.envelope_table(rows).select(
         a["id"].alias("id"), a["user_id"].alias("user_id"), a["order_status"].alias("order_status"), "op", "ts_ms")

@@ -48,7 +48,7 @@ def uv_home_detail(spark, sf):
 
 
 # Users seldom stay away a week in the test data, so a shorter gap also is checked.
-def _login_sql(days):
+def login_sql(days):
     return f"""
     SELECT uid, ts_ms, 1 AS uu_ct, CASE WHEN (ts_ms - last_day * 86400000) // 86400000 >= {days} THEN 1 ELSE 0 END
            AS back_ct
@@ -57,12 +57,12 @@ def _login_sql(days):
     WHERE last_day IS DISTINCT FROM ts_ms // 86400000"""
 
 
-@query("uu_login_back", _login_sql(8), ["page_log"])
+@query("uu_login_back", login_sql(8), ["page_log"])
 def uu_login_back(spark, sf):
     return keyed.uu_login_back(st.record(spark, sf, "page_log"), LOG_ORDER)
 
 
-@query("uu_login_back_2_days", _login_sql(2), ["page_log"])
+@query("uu_login_back_2_days", login_sql(2), ["page_log"])
 def uu_login_back_2_days(spark, sf):
     return keyed.uu_login_back(st.record(spark, sf, "page_log"), LOG_ORDER, back_days=2)
 
