@@ -6,7 +6,7 @@ import importlib
 
 from marketlens.catalog.registry import ORACLES, QUERIES
 
-for _name in ("sources", "sinks", "filters", "joins", "aggregates", "scalars", "state", "jobs"):
+for _name in ("sources", "sinks", "filters", "joins", "aggregates", "scalars", "state", "jobs", "streams"):
     importlib.import_module(f"marketlens.catalog.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

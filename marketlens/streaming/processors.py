@@ -65,7 +65,7 @@ class FirstOfDay(OneValue):
             first = day != last
             last = day
             if first or not self.only:
-                yield Row(*r, int(first))
+                yield Row(**r.asDict(), is_first=int(first))
         if last != before:
             self.state.update((last,))
 
@@ -83,7 +83,7 @@ class FixIsNew(OneValue):
                 self.state.update((first,))
             elif r["is_new"] == "1" and first != day:
                 values["is_new"] = "0"
-            yield Row(*values.values())
+            yield Row(**values)
 
 
 class LoginBack(OneValue):
@@ -100,7 +100,7 @@ class LoginBack(OneValue):
             day = _date(r["ts_ms"])
             if day != last:
                 gap = 0 if last is None else (r["ts_ms"] - _day_start(last)) // DAY_MS
-                yield Row(*r, 1, int(gap >= self.back_days))
+                yield Row(**r.asDict(), uu_ct=1, back_ct=int(gap >= self.back_days))
                 last = day
         if last != before:
             self.state.update((last,))
@@ -117,7 +117,7 @@ class DedupLatest(OneValue):
         for r in _in_order(rows, self.order):
             if top is None or r["ts_ms"] > top:
                 top = r["ts_ms"]
-                yield Row(*r)
+                yield r
         if top != before:
             self.state.update((top,))
 
@@ -138,9 +138,9 @@ class RetractPrevious(StatefulProcessor):
         last = dict(zip(names, self.state.get())) if self.state.exists() else None
         for r in _in_order(rows, self.order):
             if last is not None:
-                yield Row(*{**last, self.amount: str(-Decimal(last[self.amount]))}.values())
+                yield Row(**{**last, self.amount: str(-Decimal(last[self.amount]))})
             last = r.asDict()
-            yield Row(*r)
+            yield r
         self.state.update(tuple(last[n] for n in names))
 
     def close(self) -> None:
@@ -176,7 +176,7 @@ class DebounceLast(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Emit what is held and forget it."""
         if self.state.exists():
-            yield Row(*self.state.get())
+            yield Row(**dict(zip(self.schema.fieldNames(), self.state.get())))
             self.state.clear()
 
     def close(self) -> None:
@@ -206,7 +206,8 @@ class RunningProfile(StatefulProcessor):
                 if r[s] is not None and r[s] not in values[s]:
                     values[s].add(r[s])
                     self.seen.updateValue((s, r[s]), (1,))
-            yield Row(r["uid"], r["ts_ms"], r["row_id"], views, *[",".join(sorted(values[s])) for s in self.sets])
+            lists = {s: ",".join(sorted(values[s])) for s in self.sets}
+            yield Row(uid=r["uid"], ts_ms=r["ts_ms"], row_id=r["row_id"], pv=views, **lists)
         self.views.update((views,))
 
     def close(self) -> None:
