@@ -9,7 +9,7 @@ from marketlens.catalog.sinks import CELLS, ROUTED, routes
 from marketlens.operators import filters as fl, logs as lg, routing as rt
 from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
-from marketlens.sources.schemas import LOG
+from marketlens.sources.schemas import FACT_ROUTE, LOG
 
 _PAGE = "mid, uid, sid, ar, ch, vc, os, md, ba, is_new, page_id, last_page_id, item, item_type, during_time, ts_ms"
 # A cut-off line has no fields, so it parses to nulls only.
@@ -167,12 +167,11 @@ FACT_ROUTES = [("coupon_use", "insert", "dwd_coupon_get", "id,user_id"),
     FROM old_change WHERE source_table = 'coupon_use' OR (source_table = 'favor_info' AND source_type = 'insert')""",
        ["old_change"])
 def route_fact_by_config(spark, sf):
-    from marketlens.sources.schemas import FACT_ROUTE
     rows = st.record(spark, sf, "old_change")
     data = F.create_map(*[x for c in ("id", "user_id", "sku_id", "remark") for x in (F.lit(c), F.col(c))])
     old = rows.select(F.col("source_table").alias("table"), F.col("source_type").alias("type"), "ts", data.alias("data"))
     d = F.col("data")
-    return rt.route_fact_by_config(old, spark.createDataFrame(FACT_ROUTES, FACT_ROUTE)).select(
+    return rt.route_fact_by_config(old, rd.local_table(spark, FACT_ROUTE, FACT_ROUTES)).select(
         "sink_table", d["id"].alias("id"), d["user_id"].alias("user_id"), d["sku_id"].alias("sku_id"),
         d["ts"].alias("ts"))
 

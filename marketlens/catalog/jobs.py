@@ -15,7 +15,7 @@ from marketlens.operators import dedupe as dd, filters as fl, keyed, logs as lg,
 from marketlens.plans import dims, profile as pf, windows as wd
 from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
-from marketlens.sources.schemas import LOG
+from marketlens.sources.schemas import LOG, ROUTE
 
 
 @query("job_ods", """
@@ -38,8 +38,7 @@ def _route_changes(spark):
     rows = [("r", *r, 1) for r in ROUTES] + [
         ("r", "order_info", "dim_order", "id", "info", "id", 1), ("d", "order_info", "dim_order", "id", "info", "id", 2),
         ("r", "cart_info", "dim_old_cart", "id", "info", "id", 0)]
-    df = spark.createDataFrame(rows, "op STRING, source_table STRING, sink_table STRING, sink_columns STRING, "
-                                     "sink_family STRING, sink_row_key STRING, ts_ms BIGINT")
+    df = rd.local_table(spark, f"op STRING, {ROUTE}, ts_ms BIGINT", rows)
     fields = [c for c in df.columns if c not in ("op", "ts_ms")]
     payload = F.create_map(*[x for c in fields for x in (F.lit(c), F.col(c))])
     return df.select("op", F.when(F.col("op") == "d", payload).otherwise(none).alias("before"),

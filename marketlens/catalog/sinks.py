@@ -22,7 +22,7 @@ ROUTED = ("user_info", "user_info_sup_msg", "cart_info", "order_info")
 
 def routes(spark):
     """The routes as a DataFrame."""
-    return spark.createDataFrame(ROUTES, ROUTE)
+    return rd.local_table(spark, ROUTE, ROUTES)
 
 
 @query("sink_topic_append", "SELECT order_id, ts_ms FROM payment_info", ["payment_info"])

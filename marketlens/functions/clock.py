@@ -24,8 +24,14 @@ def _c(col: Column | str) -> Column:
 
 
 def ms_of(ntz: Column | str) -> Column:
-    """Zone-less timestamp (read as UTC) to epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), _c(ntz))
+    """Zone-less timestamp (read as UTC) to epoch milliseconds.
+
+    Put together from its fields: ``timestampdiff`` would move hours the session's zone skips.
+    """
+    t = _c(ntz)
+    days = F.unix_date(t.cast("date")).cast("bigint")
+    millis = (F.date_part(F.lit("SECOND"), t) * 1000).cast("bigint")
+    return days * DAY_MS + F.hour(t) * 3_600_000 + F.minute(t) * 60_000 + millis
 
 
 def ntz_of(ms: Column | str, zone: str = "UTC") -> Column:

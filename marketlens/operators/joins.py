@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.session import fits_broadcast, input_bytes
 
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1000
-SALT_FROM_BYTES = 4 << 30
+HOT_ROWS = 2_000_000  # rows of one key that a task still handles well
+MAX_HOT_KEYS = 10_000  # bound of the broadcast list of hot keys
+MAX_PARTS = 10_000  # bound of the copies made of a row that meets a hot key
+SALT_FROM_BYTES = 4 << 30  # inputs below this hold no group too big for a task
 
 
 def hot_keys(df: DataFrame, on: list[str], splits: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -27,7 +28,8 @@ def hot_keys(df: DataFrame, on: list[str], splits: str, hot_rows: int = HOT_ROWS
     """
     counts = df.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
     top = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return top.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias(splits))
+    parts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_PARTS)).cast("int")
+    return top.select(*on, parts.alias(splits))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",

@@ -2,7 +2,8 @@
 
 None of them sorts all rows of a key in one task. First and last rows are found by aggregates that combine
 before the shuffle; a flag goes back to its row by the unique ``row_id`` (topic offset, event id or file
-position), which spreads evenly; running values are built from short time pieces of a key.
+position), which spreads evenly; running values are built from short time pieces of a key. Keys must not be
+null, as in any keyed stream.
 """
 
 from __future__ import annotations
@@ -105,41 +106,44 @@ def _pieces(ts: str, piece_ms: int) -> Column:
     return F.col(ts) - F.pmod(F.col(ts), F.lit(piece_ms).cast("bigint"))
 
 
-def _piece_state(df: DataFrame, key: str, sets: list[str], upto: int) -> DataFrame:
+def _piece_state(df: DataFrame, key: str, ts: str, sets: list[str], upto: int) -> DataFrame:
     """Rows seen and values seen per key and piece, over all pieces up to ``upto`` (0 this one, -1 the one before).
 
-    Each value counts in the piece it first appears in, so the lists hold every value once.
+    One pass over the rows sums up each piece; the rest works on one row per key and piece, or per key, piece
+    and value. Each value counts in the piece it first appears in, so the running lists hold it once.
     """
-    counts = df.groupBy(key, "_piece").agg(F.count("*").alias("_n"))
-    pairs = F.array(*[F.struct(F.lit(s).alias("f"), F.col(s).alias("v")) for s in sets])
-    firsts = (df.select(key, "_piece", F.explode(pairs).alias("p")).where("p.v IS NOT NULL")
-              .groupBy(key, "p.f", "p.v").agg(F.min("_piece").alias("_piece"))
-              .groupBy(key, "_piece").agg(*[F.collect_set(F.when(F.col("f") == s, F.col("v"))).alias(s) for s in sets]))
+    pieces = df.groupBy(key, "_piece").agg(
+        F.count("*").alias("_n"), F.max(ts).alias("_ts"), *[F.collect_set(s).alias(s) for s in sets])
+    tagged = lambda s: F.transform(s, lambda v: F.struct(F.lit(s).alias("f"), v.alias("v")))
+    mark = F.array(F.struct(F.lit("").alias("f"), F.col("_piece").cast("string").alias("v")))
+    values = pieces.select(key, "_piece", "_n", "_ts", F.explode(F.concat(mark, *[tagged(s) for s in sets])).alias("_p"))
+    since = F.min("_piece").over(Window.partitionBy(key, "_p"))
+    fresh = values.withColumn("_since", since).where("_since = _piece").groupBy(key, "_piece").agg(
+        F.max("_n").alias("_n"), F.max("_ts").alias("_ts"),
+        *[F.collect_list(F.when(F.col("_p.f") == s, F.col("_p.v"))).alias(s) for s in sets])
     over = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, upto)
     seen = lambda s: F.flatten(F.collect_list(F.when(F.size(s) > 0, F.col(s))).over(over))
-    return counts.join(firsts, [key, "_piece"], "left").select(
-        key, "_piece", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_n"),
-        *[seen(s).alias(f"_seen_{s}") for s in sets])
+    return fresh.select(key, "_piece", "_ts", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_seen_n"),
+                        *[seen(s).alias(f"_seen_{s}") for s in sets])
 
 
 def running_profile(df: DataFrame, key: str, ts: str, row_id: str, sets: list[str],
                     piece_ms: int = 120_000) -> DataFrame:
     """Per row: page views of the user so far and the distinct values seen so far, as comma lists."""
     rows = df.select(key, ts, row_id, *sets, _pieces(ts, piece_ms).alias("_piece"))
-    state = _piece_state(rows, key, sets, -1)
+    state = _piece_state(rows, key, ts, sets, -1)
     here = Window.partitionBy(key, "_piece").orderBy(ts, row_id)
     grown = lambda s: F.array_union(
         F.coalesce(f"_seen_{s}", F.array().cast("array<string>")),
         F.collect_set(s).over(here.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.join(state, [key, "_piece"]).select(
-        key, ts, row_id, (F.col("_n") + F.row_number().over(here)).cast("bigint").alias("pv"),
+        key, ts, row_id, (F.col("_seen_n") + F.row_number().over(here)).cast("bigint").alias("pv"),
         *[F.array_join(F.array_sort(grown(s)), ",").alias(s) for s in sets])
 
 
 def window_profile(df: DataFrame, key: str, ts: str, sets: list[str], window_ms: int = 120_000) -> DataFrame:
     """The running profile as it stands at the end of each window in which the user was active."""
     rows = df.select(key, ts, *sets, _pieces(ts, window_ms).alias("_piece"))
-    latest = rows.groupBy(key, "_piece").agg(F.max(ts).alias(ts))
-    return _piece_state(rows, key, sets, 0).join(latest, [key, "_piece"]).select(
-        key, F.col("_piece").alias("window_ms"), ts, F.col("_n").alias("pv"),
+    return _piece_state(rows, key, ts, sets, 0).select(
+        key, F.col("_piece").alias("window_ms"), F.col("_ts").alias(ts), F.col("_seen_n").alias("pv"),
         *[F.array_join(F.array_sort(f"_seen_{s}"), ",").alias(s) for s in sets])

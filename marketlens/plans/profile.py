@@ -8,7 +8,7 @@ from marketlens.functions import scores as sc
 from marketlens.functions.clock import datetime_to_ts
 from marketlens.operators import filters as fl
 from marketlens.operators.dedupe import dedup_full_row, dedup_latest_detail
-from marketlens.operators.joins import first_match, interval_join, prefixed, small_join
+from marketlens.operators.joins import first_match, interval_join, prefixed, salted_join, small_join
 from marketlens.operators.keyed import window_profile
 
 MINUTE, HOUR = 60_000, 3_600_000
@@ -26,11 +26,8 @@ def user_profile(changes: DataFrame, as_of: Column, minutes: int = 60) -> DataFr
 
 
 def user_label(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left rows with the body measures of the same user; rows of different users give empty rows."""
-    same = F.col("uid") == F.col("r_uid")
-    cols = [F.when(same, F.col(c)).alias(c) for c in left.columns]
-    measures = [F.when(same, F.col(f"r_{m}")).alias(m) for m in MEASURES]
-    return left.join(prefixed(right, "r_"), same).select(*cols, *measures)
+    """Left rows with the body measures of the same user."""
+    return salted_join(left, right.select("uid", *MEASURES), ["uid"]).select(*left.columns, *MEASURES)
 
 
 def comment_order(comments: DataFrame, orders: DataFrame, on: str, comment_ts: str, order_ts: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlens.functions.clock import ntz_of
@@ -9,6 +10,14 @@ from marketlens.functions.scalars import snake_to_camel
 from marketlens.sources.schemas import CHANGE, LOG, ORDER_DETAIL
 
 
+def local_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small table of literals whose size the planner knows; ``schema`` lists ``name STRING|BIGINT``."""
+    kinds = {"STRING": pa.string(), "BIGINT": pa.int64()}
+    fields = [f.split() for f in schema.split(",")]
+    columns = [pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)]
+    return spark.createDataFrame(pa.table(columns, names=[name for name, _ in fields]))
+
+
 def topic_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Topic of text records from the earliest offset; a null value stays null."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)

@@ -228,7 +228,8 @@ RECORDS: dict[str, str] = {
 }
 
 _SPARK_FUNCTIONS = [
-    (r"\$MS\((\w+)\)", r"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', \1)"),
+    (r"\$MS\((\w+)\)", r"(unix_date(CAST(\1 AS DATE)) * 86400000L + hour(\1) * 3600000 + minute(\1) * 60000"
+                        r" + CAST(date_part('SECOND', \1) * 1000 AS BIGINT))"),
     (r"\$K", "CAST(get_json_object(props, '$.k') AS BIGINT)"),
 ]
 _DUCKDB_FUNCTIONS = [
