@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 from marketlens.catalog import joins as jn
 from marketlens.catalog.aggregates import HOME, HOME_SQL, KEYWORD_SQL, LATEST, RUNNING_ROWS, RUNNING_SQL, VERSION
 from marketlens.catalog.filters import CLEAN, USERS
-from marketlens.catalog.jobs import CART_UU_SQL, LOGIN_SQL, PROVINCE_SQL, VISITOR_SQL
+from marketlens.catalog.jobs import CART_UU_SQL, LOGIN_SQL, PROVINCE_SQL, SKU_SUMS, VISITOR_SQL
 from marketlens.catalog.registry import query, window, window_text
 from marketlens.catalog.sinks import CELLS, CELLS_SQL, ROUTED, routes
 from marketlens.catalog.state import FIXED, VISITS
@@ -20,6 +20,7 @@ from marketlens.functions.scalars import first_token
 from marketlens.operators import sinks as sk, windows as win
 from marketlens.operators.joins import stream_interval_join
 from marketlens.plans.profile import PROFILE_SETS
+from marketlens.plans.windows import SKU_SUMS as SKU_COLUMNS
 from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
 from marketlens.sources.schemas import LOG
@@ -110,10 +111,24 @@ def stream_retract_previous(spark, sf):
        ["trade_order_detail"])
 def stream_debounce_last(spark, sf):
     facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), id="none")
-    return drained(spark, flows.sku_orders(facts, VERSION)).where("id <> 'none'").select(
+    return drained(spark, flows.sku_lines(facts, VERSION)).where("id <> 'none'").select(
         "id", "sku_id", "ts_ms", "split_total_amount")
 
 
+@query("stream_job_dws_sku", f"""
+    SELECT f.*, {jn.SKU_CHAIN} FROM (SELECT sku_id, {SKU_SUMS} FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY {LATEST}) AS rn FROM trade_order_detail)
+      WHERE rn = 1 GROUP BY 1) f {jn.SKU_JOINS}""", ["trade_order_detail", *jn.SKU_DIMS.values()])
+def stream_job_dws_sku(spark, sf):
+    # The windows are those of the time the stream runs at, so the sums over all of them are compared.
+    facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), id="none")
+    path, names = scratch(spark, "sku"), list(SKU_COLUMNS.values())
+    run_sink(spark, flows.sku_sink(flows.sku_lines(facts, VERSION), path, scratch(spark, "checkpoint")))
+    rows = flows.read_sku_sums(spark, path, jn.sku_dims(spark, sf)).where("sku_id IS NOT NULL")
+    rest = [c for c in rows.columns if c not in ("stt", "edt", "cur_date", *names)]
+    return rows.groupBy(*rest).agg(*[F.sum(n).cast("decimal(38,4)").cast("string").alias(n) for n in names])
+
+
 @query("stream_dedup_latest_ts", """
     SELECT uid, name, ts_ms FROM (
       SELECT *, max(ts_ms) OVER (PARTITION BY uid ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)

@@ -64,9 +64,12 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
 
 def small_join(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                unique_right: bool = True) -> DataFrame:
-    """Join with a side that is broadcast if its size allows it, else by :func:`salted_join`."""
+    """Join with a side that Spark broadcasts if its size is within the session's limit, else :func:`salted_join`.
+
+    No hint is given, so the planner keeps the last word on the broadcast.
+    """
     if fits_broadcast(small):
-        return df.join(F.broadcast(small), on, how)
+        return df.join(small, on, how)
     return salted_join(df, small, on, how, unique_right)
 
 

@@ -9,6 +9,7 @@ null, as in any keyed stream.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from marketlens.functions.clock import DAY_MS, day_diff, ts_to_date
 from marketlens.functions.scalars import is_empty, negate_amount
@@ -16,16 +17,32 @@ from marketlens.operators.filters import filter_home_detail, filter_login_page
 from marketlens.operators.joins import salted_join
 
 
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def _end_rows(df: DataFrame, keys: list[str], order: list[str], first: bool) -> DataFrame:
+    fields = [c for c in order if c not in keys] + [c for c in df.columns if c not in keys and c not in order]
+    if all(_orderable(df.schema[c].dataType) for c in fields):
+        # One struct serves as order and as payload; ties are settled by the other columns.
+        best = (F.min if first else F.max)(F.struct(*fields))
+    else:
+        best = (F.min_by if first else F.max_by)(F.struct(*fields), F.struct(*order))
+    return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
+
+
 def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per key by ``order``, which must tell all rows apart (or tie only exact copies)."""
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
+    return _end_rows(df, keys, order, first=True)
 
 
 def last_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row per key by ``order``."""
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
+    return _end_rows(df, keys, order, first=False)
 
 
 def mark_rows(df: DataFrame, ids: DataFrame, row_id: str, flag: str) -> DataFrame:
@@ -91,7 +108,7 @@ def retract_previous(facts: DataFrame, key: str, order: list[str], row_id: str,
 
     The negative keeps the time of the version it takes back.
     """
-    last = facts.groupBy(key).agg(F.max(F.struct(*order, row_id)).alias("_l")).select(f"_l.{row_id}")
+    last = facts.groupBy(key).agg(F.max(F.struct(*dict.fromkeys([*order, row_id]))).alias("_l")).select(f"_l.{row_id}")
     amounts = F.when(F.col("_last") == 1, F.array(amount)).otherwise(F.array(F.col(amount), negate_amount(amount)))
     return (mark_rows(facts, last, row_id, "_last").withColumn(amount, F.explode(amounts))
             .select(*facts.columns))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from marketlens.operators.keyed import last_rows
 from marketlens.operators.routing import dim_cells, dim_rows, merge_cells
@@ -51,12 +52,12 @@ def text_append(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
 
 
-def print_rows(df: DataFrame, rows: int = 20) -> None:
-    """Print rows; a stream is printed batch by batch until it is stopped."""
+def print_rows(df: DataFrame, rows: int = 20) -> StreamingQuery | None:
+    """Print rows; a stream is printed batch by batch, and the running query is returned to be stopped."""
     if df.isStreaming:
-        df.writeStream.format("console").start()
-    else:
-        df.show(rows, truncate=False)
+        return df.writeStream.format("console").start()
+    df.show(rows, truncate=False)
+    return None
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

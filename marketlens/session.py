@@ -57,7 +57,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def input_bytes(df: DataFrame) -> int:
     """Sum of the sizes of the relations ``df`` reads, by Catalyst's estimate."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

@@ -11,8 +11,9 @@ import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from marketlens.session import scratch
+from marketlens.session import input_bytes, scratch
 
 DB = "retail"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -242,9 +243,28 @@ def _translate(text: str, rules: list[tuple[str, str]]) -> str:
     return reduce(lambda t, rule: re.sub(rule[0], rule[1], t), rules, text)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the test tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the test tables; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spread(spark.read.schema(_SCHEMAS[path]).parquet(path))
+
+
+SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 1 << 20, 1 << 28
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a small table that lies in one row group, which one task would read and process alone.
+
+    Tables of more than ``SPREAD_TO_BYTES`` have splits enough and are left as they are.
+    """
+    if SPREAD_FROM_BYTES <= input_bytes(df) <= SPREAD_TO_BYTES:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
 
 
 def record(spark: SparkSession, sf_dir: str, name: str, row_id: bool = False) -> DataFrame:
@@ -253,11 +273,13 @@ def record(spark: SparkSession, sf_dir: str, name: str, row_id: bool = False) ->
     ``row_id`` adds the position of the row in its file, which names a row even among exact copies.
     """
     text = _translate(RECORDS[name], _SPARK_FUNCTIONS)
-    used = {t: table(spark, sf_dir, t) for t in re.findall(r"FROM \{(\w+)\}", text)}
+    names = re.findall(r"FROM \{(\w+)\}", text)
     if row_id:
         text = re.sub(r"^\s*SELECT", "SELECT row_id,", text)
         position = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("row_id")
-        used = {t: df.select("*", position) for t, df in used.items()}
+        used = {t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet").select("*", position)) for t in names}
+    else:
+        used = {t: table(spark, sf_dir, t) for t in names}
     quoted = text.replace("{", "{{").replace("}", "}}")
     return spark.sql(re.sub(r"FROM {{(\w+)}}", r"FROM {\1}", quoted), **used)
 

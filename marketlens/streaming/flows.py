@@ -13,6 +13,7 @@ from marketlens.operators import filters as fl, sinks as sk, windows as win
 from marketlens.operators.joins import words_of
 from marketlens.operators.logs import tagged_log_lines
 from marketlens.operators.routing import route_dim_by_config
+from marketlens.plans.windows import SKU_SUMS, sku_chain
 from marketlens.session import ROCKSDB_PROVIDER, settings
 from marketlens.streaming import processors as pr
 
@@ -101,12 +102,31 @@ def province_orders(facts: DataFrame, provinces: DataFrame, order: list[str], se
     return win.with_window_text(named, seconds)
 
 
-def sku_orders(facts: DataFrame, order: list[str], seconds: int = 10) -> DataFrame:
-    """Amounts per product from the last version of each order line."""
+def sku_lines(facts: DataFrame, order: list[str]) -> DataFrame:
+    """The last version of each order line, held back for five seconds of event time."""
     timed = with_watermark(facts, "0 seconds")
     return pr.keyed_rule(timed, "id", pr.DebounceLast(timed.schema, order), timed.schema, time_mode="EventTime")
 
 
+def sku_sink(lines: DataFrame, path: str, checkpoint: str, seconds: int = 10):
+    """Start the product job: each micro-batch adds its sums to the window of the time it runs at.
+
+    Several micro-batches may fall into one window; :func:`read_sku_sums` adds them up.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = batch.withColumn("now_ms", F.unix_millis(F.current_timestamp()))
+        sk.write_batch(win.tumble(now, seconds, ["sku_id"], win.decimal_sums(SKU_SUMS), ts="now_ms"), path, batch_id)
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def read_sku_sums(spark: SparkSession, path: str, dims: dict[str, DataFrame], seconds: int = 10) -> DataFrame:
+    """The sums written by :func:`sku_sink` with the dimensions of each product."""
+    parts = spark.read.option("basePath", path).parquet(path).drop("batch")
+    sums = win.union_sums([parts], ["window_ms", "sku_id"], list(SKU_SUMS.values()))
+    return win.with_window_text(sku_chain(sums, dims), seconds)
+
+
 def first_cart_of_day(carts: DataFrame, delay: str = "1 day") -> DataFrame:
     """The first cart row to arrive per user and day, by built-in de-duplication only."""
     return with_watermark(carts, delay).withColumn("day", ts_to_date("ts_ms")).dropDuplicatesWithinWatermark(
