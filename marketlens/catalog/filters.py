@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from marketlens.catalog.registry import query
 from marketlens.catalog.sinks import CELLS, ROUTED, routes
 from marketlens.operators import filters as fl, logs as lg, routing as rt
-from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
 from marketlens.sources.schemas import FACT_ROUTE, LOG
 

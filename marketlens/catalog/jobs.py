@@ -202,9 +202,11 @@ def job_dws_home_detail(spark, sf):
     return wd.home_detail(st.record(spark, sf, "page_log"), LOG_ORDER)
 
 
-@query("job_dws_keyword", KEYWORD_SQL, ["page_log"])
+@query("job_dws_keyword", KEYWORD_SQL.replace(
+    "WHERE last_page_id", f"WHERE {CLEAN} AND page_id IS NOT NULL AND last_page_id"), ["page_log"])
 def job_dws_keyword(spark, sf):
-    return wd.search_keywords(st.record(spark, sf, "page_log"))
+    logs = rd.parse_json(rd.drop_tombstones(st.log_topic(spark, sf)), LOG).where("page IS NOT NULL")
+    return wd.search_keywords(lg.flat_logs(logs))
 
 
 VISITOR_SQL = f"""

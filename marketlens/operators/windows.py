@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlens.functions.clock import ntz_of, ts_to_date, ts_to_datetime, window_start
+from marketlens.functions.clock import ts_to_date, ts_to_datetime, window_start
 
 
 def tumble(df: DataFrame, seconds: int, keys: list[str], aggs: list[Column], ts: str = "ts_ms") -> DataFrame:
@@ -74,8 +74,3 @@ def run_summary(rows: DataFrame, keep: int = 100) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list("code")), ",").alias("failed_cities"))
     both = totals.unionByName(failed, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
-
-
-def event_time(df: DataFrame, ts: str = "ts_ms") -> DataFrame:
-    """Add the zone-less event time ``rt`` of a batch."""
-    return df.withColumn("rt", ntz_of(ts))

@@ -1,7 +1,10 @@
 """Per-key state rules for streams, as stateful processors.
 
 State per key is one small value (or one entry per distinct value seen), so it stays small however many
-rows a key has. Rows of a micro-batch are taken in the order of their time.
+rows a key has. Rows of a micro-batch count in the order of their time. Most rules go through them once and hold
+no more than one row per day; those that must sort them (:class:`DedupLatest`, :class:`RunningProfile`, and
+:class:`FixIsNew` for a device not seen before) hold the rows of one key and micro-batch, whose number the
+trigger limits of the source bound.
 """
 
 from __future__ import annotations
@@ -50,6 +53,26 @@ class OneValue(StatefulProcessor):
         """Nothing to release."""
 
 
+def _first_per_day(rows: Iterator[Row], order: list[str]) -> Iterator[tuple[str, Row, bool]]:
+    """Day, row, and whether it is the first of its day; firsts come last, in the order of days.
+
+    Only the best row of each day is held back.
+    """
+    rank = lambda r: tuple(r[c] for c in order)
+    best: dict[str, Row] = {}
+    for r in rows:
+        day = _date(r["ts_ms"])
+        if day not in best:
+            best[day] = r
+        elif rank(r) < rank(best[day]):
+            yield day, best[day], False
+            best[day] = r
+        else:
+            yield day, r, False
+    for day in sorted(best):
+        yield day, best[day], True
+
+
 class FirstOfDay(OneValue):
     """Adds ``is_first`` = 1 to the first row per key and day; with ``only`` just those rows are emitted."""
 
@@ -58,12 +81,12 @@ class FirstOfDay(OneValue):
         self.only = only
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        """Compare each day with the stored one."""
+        """Compare the first row of each day with the stored day."""
         last = before = self.last()
-        for r in _in_order(rows, self.order):
-            day = _date(r["ts_ms"])
-            first = day != last
-            last = day
+        for day, r, candidate in _first_per_day(rows, self.order):
+            first = candidate and day != last
+            if candidate:
+                last = day
             if first or not self.only:
                 yield Row(**r.asDict(), is_first=int(first))
         if last != before:
@@ -76,12 +99,13 @@ class FixIsNew(OneValue):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Store the first day once, then compare."""
         first = self.last()
-        for r in _in_order(rows, self.order):
-            day, values = _date(r["ts_ms"]), r.asDict()
-            if first is None:
-                first = day if r["is_new"] == "1" else _date(r["ts_ms"] - DAY_MS)
-                self.state.update((first,))
-            elif r["is_new"] == "1" and first != day:
+        if first is None:
+            rows = _in_order(rows, self.order)
+            first = _date(rows[0]["ts_ms"] - (0 if rows[0]["is_new"] == "1" else DAY_MS))
+            self.state.update((first,))
+        for r in rows:
+            values = r.asDict()
+            if r["is_new"] == "1" and first != _date(r["ts_ms"]):
                 values["is_new"] = "0"
             yield Row(**values)
 
@@ -94,11 +118,10 @@ class LoginBack(OneValue):
         self.back_days = back_days
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        """Compare each day with the last login day."""
+        """Compare the first login of each day with the last login day."""
         last = before = self.last()
-        for r in _in_order(rows, self.order):
-            day = _date(r["ts_ms"])
-            if day != last:
+        for day, r, candidate in _first_per_day(rows, self.order):
+            if candidate and day != last:
                 gap = 0 if last is None else (r["ts_ms"] - _day_start(last)) // DAY_MS
                 yield Row(**r.asDict(), uu_ct=1, back_ct=int(gap >= self.back_days))
                 last = day
@@ -123,7 +146,7 @@ class DedupLatest(OneValue):
 
 
 class RetractPrevious(StatefulProcessor):
-    """Before each new version of a row emits the version before it with its amount negated."""
+    """Emits each version of a row, and the negative of every version that a newer one replaces."""
 
     def __init__(self, schema: StructType, order: list[str], amount: str, ttl_ms: int | None = None):
         self.schema, self.order, self.amount, self.ttl_ms = schema, order, amount, ttl_ms
@@ -133,15 +156,24 @@ class RetractPrevious(StatefulProcessor):
         self.state = handle.getValueState("last", self.schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        """Emit the negative of the stored version, then the new one."""
+        """Take back the stored version and every new one but the newest; only that one is held."""
         names = self.schema.fieldNames()
-        last = dict(zip(names, self.state.get())) if self.state.exists() else None
-        for r in _in_order(rows, self.order):
-            if last is not None:
-                yield Row(**{**last, self.amount: str(-Decimal(last[self.amount]))})
-            last = r.asDict()
+        rank = lambda r: tuple(r[c] for c in self.order)
+        if self.state.exists():
+            yield self._negative(dict(zip(names, self.state.get())))
+        newest = None
+        for r in rows:
             yield r
-        self.state.update(tuple(last[n] for n in names))
+            if newest is None or rank(r) >= rank(newest):
+                old, newest = newest, r
+            else:
+                old = r
+            if old is not None:
+                yield self._negative(old.asDict())
+        self.state.update(tuple(newest[n] for n in names))
+
+    def _negative(self, values: dict) -> Row:
+        return Row(**{**values, self.amount: str(-Decimal(values[self.amount]))})
 
     def close(self) -> None:
         """Nothing to release."""

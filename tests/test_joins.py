@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marketlens.operators import joins as jn
+from marketlens.session import settings
 
 
 def _sides(spark):
@@ -40,6 +41,20 @@ def test_hot_keys_are_split(spark):
     assert rows(jn.hot_keys(left, ["k"], "n", hot_rows=100)) == [("hot", 4)]
 
 
+def test_salted_join_spreads_a_hot_key(spark):
+    left = spark.range(6000, numPartitions=12).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "id")
+    right = spark.createDataFrame([("hot", 1)], "k STRING, v INT")
+
+    def largest(df):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000
+        return max(sizes)
+
+    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert largest(left.join(right, "k")) == 2000
+        assert largest(jn.salted_join(left, right, ["k"], unique_right=True, hot_rows=200, min_bytes=0)) < 1200
+
+
 def test_small_join_beyond_the_broadcast_limit(spark):
     left, right = _sides(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
