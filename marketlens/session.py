@@ -5,8 +5,11 @@ from __future__ import annotations
 import contextlib
 import functools
 import os
+import pathlib
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,10 +20,15 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made.
+    Only on one machine (a ``local`` master) may that setting be absent; a temporary folder is made then.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    return root or _local_dir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on master {master}")
+    return _local_dir()
 
 
 @functools.cache
@@ -33,6 +41,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors once per application, so that Python functions find their modules there."""
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="marketlens-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent).as_posix())
+    context.addPyFile(str(archive))
+    _SHIPPED["application"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, **conf: str):
     """Set session options for the duration of a block (``__`` stands for a dot)."""
