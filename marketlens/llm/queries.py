@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import packing, token_files
+from marketlens.llm import decontaminate, line_dedup, packing, quality, secrets, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,79 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids, with checksums of the pieces."""
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, spaced=True)
     return token_files.with_checksum(packed, "ids")
+
+
+URL_RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"),
+             url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page URLs."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdicts on all documents."""
+    return quality.assess(table(spark, sf_dir, "documents"))
+
+
+def _secret_sql() -> str:
+    """DuckDB SQL of the secret spans: every rule tried on every text."""
+    parts = []
+    for number, rule in enumerate(secrets.RULES):
+        p = rule.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind, unnest(range(1, len(hits) + 1)) AS k, gaps, hits, vals
+  FROM (SELECT doc_id, string_split_regex(text, '{p}') AS gaps, regexp_extract_all(text, '{p}', 0) AS hits,
+               regexp_extract_all(text, '{p}', {rule.group}) AS vals FROM d)""")
+    least = "CASE rule " + " ".join(f"WHEN {n} THEN {r.min_chars}" for n, r in enumerate(secrets.RULES)) + " END"
+    base = "rule < 3"
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rule){0}, '')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), m AS ({" UNION ALL ".join(parts)}),
+x AS (SELECT doc_id, rule, kind, vals[k] AS v, length(hits[k]) AS size,
+             list_sum([length(g) for g in gaps[1:k]]) + coalesce(list_sum([length(g) for g in hits[1:k-1]]), 0) AS p
+      FROM m),
+y AS (SELECT doc_id, rule, kind, CAST(p AS BIGINT) AS s, CAST(p + size AS BIGINT) AS e FROM x WHERE length(v) >= {least})
+SELECT d.doc_id, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access,
+       count(*) FILTER (rule = 2) AS n_hex, sha256({joined.format(f" FILTER ({base})")}) AS base_sha256,
+       {joined.format("")} AS spans
+FROM d LEFT JOIN y ON d.doc_id = y.doc_id GROUP BY d.doc_id"""
+
+
+@query("op5_secret_scan", _secret_sql())
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS],
+                        F.sha2(secrets.span_text(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("secrets")).alias("spans"))
+
+
+@query("op6_line_dedup", r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS k, unnest(lines) AS line FROM d),
+x AS (SELECT doc_id, k, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM x WHERE length(key) >= 10 GROUP BY key),
+y AS (SELECT x.doc_id, x.k, x.line, coalesce(x.doc_id > f.first, false) AS gone FROM x LEFT JOIN f ON x.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM y GROUP BY doc_id""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents, and what is left after de-duplication."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    kept = line_dedup.apply_bitmaps(docs.select("doc_id", "text", lines.alias("n_lines")), line_dedup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", F.col("n_dropped").cast("long").alias("n_dropped"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op9_spaced_seeds")
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of benchmark items: a row per document and item."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")

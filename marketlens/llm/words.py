@@ -101,7 +101,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
         parts.append(h[same])
         owners.append(rows[:len(h)][same])
     for r in np.flatnonzero((counts > 0) & (counts < n)):
-        h = np.array([np.uint64(counts[r]) * np.uint64(0x9E3779B97F4A7C15)])
+        h = np.full(1, int(counts[r]) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, np.uint64)
         for k, w in enumerate(hashes[first[r]:first[r + 1]]):
             h = mix(h ^ w) + np.uint64(k)
         parts.append(h)
