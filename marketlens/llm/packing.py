@@ -39,6 +39,9 @@ class SumOfSquares:
     def place(self, length: int) -> tuple[int, int]:
         """Number of the sequence and offset in it; the smaller gap wins a tie."""
         count, size = self.count, self.size
+        if length == size:
+            self.made += 1
+            return self.made - 1, 0
         gaps = np.flatnonzero(count[length:]) + length
         after = np.concatenate([gaps, [size]]) - length
         change = np.where(after > 0, 2 * count[after] + 1, 0)

@@ -23,7 +23,7 @@ LEAST_SHARE = 0.001  # languages of fewer documents are held against the mean of
 JUDGED_CHARS = 200
 JUDGED_WORDS = 60
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.55
+MAX_WORD_DISTANCE = 0.45
 SYMBOLS = "#*$%&|<>"
 _CLASSES = (BLANKS, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:!?'\"()-",
             "#*$%&|<>@^~`_+={}[]/\\")

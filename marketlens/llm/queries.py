@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import decontaminate, line_dedup, packing, quality, secrets, token_files, url_filter
+from marketlens.llm import decontaminate, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,12 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of benchmark items: a row per document and item."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
+
+
+@query("op1_kneser_ney_toxicity")
+def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(toxicity.fold_of(F.col("doc_id"), 5) != 0))
+    held_out = (toxicity.fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")

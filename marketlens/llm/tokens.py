@@ -19,7 +19,7 @@ MEMO = 1 << 19
 _SPACED = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)*'[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s")
 _BARE = re.compile(r"[^\W_]+|(?:[^\w\s]|_)*'[^\W_]+|(?:[^\w\s]|_)+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
-_RARE_BLANKS = re.compile("[\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RARE_BLANKS = re.compile("[\x1c-\x1f\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that byte-level pieces show as they are
 _BYTE_CHARS = dict(zip(sorted(set(range(256)) - _SHOWN), range(256, 512)))
@@ -116,14 +116,14 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
     def encode(text: str) -> bytes:
         if not text:
             return b""
-        if _SEPARATORS.search(text):
-            return ids(text).tobytes()
         if not spaced:
+            if _SEPARATORS.search(text):
+                return ids(text).tobytes()
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
             return by_chunk(text.lower())
         if _RARE_BLANKS.search(text) or text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS):
-            return slow([text])[0]
+            return ids(text).tobytes() if _SEPARATORS.search(text) else slow([text])[0]
         return by_chunk(text)
 
     return encode

@@ -1,7 +1,7 @@
 """URL verdicts: host and path rules first, then the ratio of two character models of accepted and rejected URLs.
 
 The models are variable-order Markov chains (orders 0 to 2) over a folded alphabet, smoothed by Witten-Bell back-off, and
-learned from the URLs that the rules decide, without what the rule itself asks for. The alphabet bounds the models: one array with a log-ratio per trigram
+learned from the URLs that the rules decide, without the domain that rules are written on. The alphabet bounds the models: one array with a log-ratio per trigram
 of symbols, whatever the number of URLs. All work is column expressions.
 """
 
@@ -56,9 +56,7 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
         for earlier in same[:same.index(rule)]:
             fits &= ~(((host == earlier.host) | host.endswith("." + earlier.host)) & path.startswith(earlier.path))
-        found = F.when(fits, F.struct(
-            F.lit(rule.text).alias("text"), F.lit(rule.verdict).alias("verdict"), F.lit(len(rule.host)).alias("host"),
-            F.lit(len(rule.path)).alias("path"))).otherwise(found)
+        found = F.when(fits, F.struct(F.lit(rule.text).alias("text"), F.lit(rule.verdict).alias("verdict"))).otherwise(found)
     return found
 
 
@@ -75,11 +73,9 @@ def trigrams_of(url: Column) -> Column:
         F.sequence(F.lit(2), F.size(c) - 1), lambda i: (F.get(c, i - 2) * k + F.get(c, i - 1)) * k + F.get(c, i)))[0]
 
 
-def _without_rule(url: Column, host: Column, fit: Column) -> Column:
-    """A URL without the rule's host and path, so that the models learn from what the rule did not look at."""
-    size = F.length(host)
-    return F.concat(F.lit("://"), F.substr(host, F.lit(1), size - fit["host"]),
-                    F.substr(_rest(url), size + fit["path"] + 1))
+def _seen_by_models(url: Column, host: Column) -> Column:
+    """A URL without the last two labels of its host: rules are written on domains, so these would only repeat them."""
+    return F.concat(F.lit("://"), F.regexp_replace(host, r"[^.]*\.?[^.]*$", ""), F.substr(_rest(url), F.length(host) + 1))
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
@@ -122,7 +118,7 @@ def judge(pages: DataFrame, rules: list[Rule], *, page_id: str = "page_id", url:
     fold = F.coalesce(F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(FOLDS)), F.lit(1))
     decided = (rows.where("fit is not null")
                .select(F.col("fit.verdict").alias("verdict"), fold.alias("fold"),
-                       trigrams_of(_without_rule(F.col("url"), F.col("host"), F.col("fit"))).alias("trigrams")))
+                       trigrams_of(_seen_by_models(F.col("url"), F.col("host"))).alias("trigrams")))
     counts = (decided.where(F.col("fold") != CALIBRATE_FOLD).select("verdict", F.explode("trigrams").alias("trigram"))
               .groupBy("trigram").agg(F.count_if(F.col("verdict") == "block").alias("n_block"),
                                       F.count_if(F.col("verdict") == "allow").alias("n_allow")))
@@ -137,7 +133,7 @@ def judge(pages: DataFrame, rules: list[Rule], *, page_id: str = "page_id", url:
            .agg(F.percentile_approx(F.when((F.col("verdict") == "allow") & (F.col("fold") == CALIBRATE_FOLD),
                                            score(F.col("trigrams"))), KEEP_SHARE, 10_000).alias("cut"),
                 F.count_if(F.col("verdict") == "block").alias("blocked")).first())
-    scored = rows.withColumn("score", score(trigrams_of(F.col("url"))))
+    scored = rows.withColumn("score", score(trigrams_of(_seen_by_models(F.col("url"), F.col("host")))))
     by_model = (F.when(F.col("score") > cut["cut"], "block").otherwise("allow")
                 if cut["cut"] is not None and cut["blocked"] else F.lit("allow"))
     return scored.select("page_id", "host", "path", F.col("fit.text").alias("rule"),
