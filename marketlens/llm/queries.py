@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import decontaminate, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter
+from marketlens.llm import decontaminate, jaccard_join, language_model, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,31 @@ def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, labels.where(toxicity.fold_of(F.col("doc_id"), 5) != 0))
     held_out = (toxicity.fold_of(F.col("doc_id"), 5) == 0).alias("held_out")
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op8_backoff_automaton")
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    fold = language_model.fold_of(F.col("doc_id"), 10)
+    found = language_model.score(docs, docs.where(fold != 0))
+    return found.select("doc_id", (fold == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op4_grouped_prefix_join", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)""")
+def op4_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on three-word shingles."""
+    linked = jaccard_join.link(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return linked.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("first_doc").alias("component_id"))
