@@ -8,6 +8,7 @@ references are a small table that is learned first.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,12 +26,8 @@ JUDGED_WORDS = 60
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 SYMBOLS = "#*$%&|<>"
-_CLASSES = (BLANKS, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:!?'\"()-",
-            "#*$%&|<>@^~`_+={}[]/\\")
-
-
-def _without(column: Column, chars: str) -> Column:
-    return F.translate(column, chars, "")
+_CLASSES = ("abcdefghijklmnopqrstuvwxyz", BLANKS, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:!?'\"()-", SYMBOLS,
+            "@^~`_+={}[]/\\")
 
 
 def _each(column: Column, fn) -> Column:
@@ -47,8 +44,18 @@ def duplicate_lines(text: Column) -> Column:
 def repeated_words(word_list: Column, n: int = 5) -> Column:
     """Number of words inside windows of ``n`` words that occur twice or more, all occurrences counted."""
     def windows(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(h) - n),
-                           lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]))
+        """Hashes of all windows, built from hashes of shorter ones."""
+        def joined(x: Column, y: Column, shift: int) -> Column:
+            return F.zip_with(F.slice(x, F.lit(1), F.greatest(F.size(y) - shift, F.lit(0))),
+                              F.slice(y, F.lit(1 + shift), F.greatest(F.size(y) - shift, F.lit(0))),
+                              lambda a, b: F.xxhash64(a, b))
+        def grown(shift: int) -> Callable[[Column], Column]:
+            return lambda x: joined(x, h, shift)
+
+        out = h
+        for shift in range(1, n):
+            out = _each(out, grown(shift))
+        return out
 
     def covered(win: Column) -> Column:
         places = _each(F.sort_array(F.transform(win, lambda x, i: F.struct(x.alias("x"), i.alias("i")))), lambda s: F.filter(
@@ -66,14 +73,20 @@ def repeated_words(word_list: Column, n: int = 5) -> Column:
     return F.when(F.size(word_list) >= n, found).otherwise(0).cast("long")
 
 
-def class_shares(text: Column) -> Column:
-    """Shares of the character classes in a text: blanks, a-z, A-Z, digits, punctuation, symbols, all else."""
-    rest, sizes = text, []
-    left = [text]
-    for chars in _CLASSES:
-        left.append(_without(left[-1], chars))
-    sizes = [F.length(a) - F.length(b) for a, b in zip(left[:-1], left[1:])] + [F.length(left[-1])]
-    return F.transform(F.array(*sizes), lambda x: x / F.greatest(F.length(rest), F.lit(1)))
+def with_classes(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``classes``, the counts of the character classes of a text: a-z, blanks, A-Z, digits, punctuation, the base
+    rules' symbols, other symbols, all else. The largest class goes first, so that the rest is short."""
+    left, columns = text, []
+    for k, chars in enumerate(_CLASSES):
+        df = df.withColumn(f"__rest{k}", F.translate(left, chars, ""))
+        columns.append(F.length(left) - F.length(f"__rest{k}"))
+        left = f"__rest{k}"
+    return df.withColumn("classes", F.array(*columns, F.length(left))).drop(*[f"__rest{k}" for k in range(len(_CLASSES))])
+
+
+def _shares(classes: str = "classes") -> Column:
+    return _each(F.col(classes), lambda c: F.transform(
+        c, lambda x: x / F.greatest(F.aggregate(c, F.lit(0), lambda s, y: s + y), F.lit(1))))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -84,38 +97,35 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2, F.lit(0.0)))
 
 
-def references(docs: DataFrame) -> DataFrame:
+def references(measured: DataFrame) -> DataFrame:
     """One row per language of at least ``LEAST_SHARE`` of all documents, and one (null) of all: class shares, common
     words, and the shares of these words (and of all others) in a document's words; means over the documents.
 
-    Documents are columns lang and text (not null); texts without words are left out.
+    ``measured`` has columns lang (not null), n_words, classes, short (the short words, lower-cased); documents without
+    words are left out.
     """
-    docs = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text").withColumn("words", words("text"))
-            .where(F.size("words") > 0))
-    parts = docs.select("lang", class_shares(F.col("text")).alias("shares"))
-    classes = parts.groupBy("lang").agg(F.count("*").alias("n"), *[
-        F.sum(F.get("shares", F.lit(k))).alias(f"s{k}") for k in range(len(_CLASSES) + 1)])
-    short = docs.select("lang", F.expr("1D / size(words)").alias("share"), F.explode(F.transform(
-        F.filter("words", lambda w: F.length(w) <= COMMON_CHARS), lambda w: F.lower(w))).alias("word"))
-    common = short.groupBy("lang", "word").agg(F.sum("share").alias("share"))
-    path = session.scratch(docs.sparkSession, "quality")
-    classes.write.parquet(os.path.join(path, "classes"))
-    common.write.parquet(os.path.join(path, "common"))
-    spark = docs.sparkSession
+    spark = measured.sparkSession
+    path = session.scratch(spark, "quality")
+    docs = measured.where("n_words > 0")
+    n = len(_CLASSES) + 1
+    (docs.select("lang", _shares().alias("shares")).groupBy("lang")
+     .agg(F.count("*").alias("n"), *[F.sum(F.get("shares", F.lit(k))).alias(f"s{k}") for k in range(n)])
+     .write.parquet(os.path.join(path, "classes")))
+    (docs.select("lang", (1 / F.col("n_words")).alias("share"), F.explode("short").alias("word"))
+     .groupBy("lang", "word").agg(F.sum("share").alias("share")).write.parquet(os.path.join(path, "common")))
     classes, common = (spark.read.parquet(os.path.join(path, x)) for x in ("classes", "common"))
-    sums = [F.sum(c).alias(c) for c in classes.columns if c != "lang"]
-    least = classes.agg(F.sum("n")).scalar() * LEAST_SHARE
-    langs = classes.where(F.col("n") >= least)
-    every = classes.agg(*sums).select(F.lit(None).cast("string").alias("lang"), "*")
+    least = classes.agg(F.sum("n")).first()[0] or 0
+    langs = classes.where(F.col("n") >= least * LEAST_SHARE)
+    every = classes.agg(*[F.sum(c).alias(c) for c in classes.columns if c != "lang"]).select(
+        F.lit(None).cast("string").alias("lang"), "*")
     classes = langs.unionByName(every)
     common = (common.join(langs.select("lang"), "lang", "left_semi")
               .unionByName(common.groupBy("word").agg(F.sum("share").alias("share"))
                            .select(F.lit(None).cast("string").alias("lang"), "word", "share")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "word"))
-    top = (common.withColumn("k", rank).where(F.col("k") <= COMMON_WORDS).groupBy("lang")
+    top = (common.withColumn("k", rank).where(F.col("k") <= COMMON_WORDS).groupBy(F.col("lang").alias("top_lang"))
            .agg(F.sort_array(F.collect_list(F.struct("k", "word", "share"))).alias("top")))
-    shares = F.array(*[F.col(f"s{k}") / F.col("n") for k in range(len(_CLASSES) + 1)])
-    top = top.withColumnRenamed("lang", "top_lang")
+    shares = F.array(*[F.col(f"s{k}") / F.col("n") for k in range(n)])
     return (classes.join(top, classes["lang"].eqNullSafe(top["top_lang"])).select(
         "lang", shares.alias("class_shares"), F.transform("top", lambda t: t["word"]).alias("common"),
         F.transform("top", lambda t: t["share"] / F.col("n")).alias("word_shares"))
@@ -123,6 +133,20 @@ def references(docs: DataFrame) -> DataFrame:
             "concat(word_shares, array(greatest(0D, 1D - aggregate(word_shares, 0D, (s, x) -> s + x))))")))
 
 
+def measure(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    """The base counts per row, with lang, n_chars, classes and short words for the histograms."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
+                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = with_classes(rows.withColumn("words", words("text")))
+    n_chars = F.length("text")
+    short = F.transform(F.filter("words", lambda w: F.length(w) <= COMMON_CHARS), lambda w: F.lower(w))
+    return rows.select(
+        "doc_id", "lang", n_chars.alias("n_chars"), F.size("words").cast("long").alias("n_words"),
+        (n_chars - F.get("classes", F.lit(1))).cast("long").alias("word_chars"),
+        F.get("classes", F.lit(5)).cast("long").alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
+        repeated_words(F.col("words")).alias("n_repeat_words"), "classes", short.alias("short"))
+
+
 def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance, word_distance.
@@ -133,30 +157,23 @@ def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     Repeated rows are assessed alike; other columns are left out; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    path = os.path.join(session.scratch(spark, "quality"), "references")
-    references(rows).write.parquet(path)
-    known = spark.read.parquet(path)
+    path = session.scratch(spark, "quality")
+    measure(docs, doc_id, text, lang).write.parquet(os.path.join(path, "measures"))
+    measured = spark.read.parquet(os.path.join(path, "measures"))
+    references(measured).write.parquet(os.path.join(path, "references"))
+    known = spark.read.parquet(os.path.join(path, "references"))
     every = known.where("lang is null").select(F.struct("class_shares", "common", "word_shares"))
     own = known.where("lang is not null").select("lang", F.struct("class_shares", "common", "word_shares").alias("own"))
-    rows = rows.join(F.broadcast(own), "lang", "left").withColumn("ref", F.coalesce("own", every.scalar()))
-    # the common words of each language are at most COMMON_WORDS, the languages at most 1,001: the broadcast is bounded
-    rows = rows.withColumn("words", words("text")).withColumn("n_words", F.size("words").cast("long"))
-    common = F.filter(F.transform(F.filter("words", lambda w: F.length(w) <= COMMON_CHARS), lambda w: F.lower(w)),
-                      lambda w: F.array_contains(F.col("ref.common"), w))
-    counts = _each(common, lambda hits: F.transform(
-        F.col("ref.common"), lambda t: F.size(F.filter(hits, lambda h: h == t)) / F.greatest(F.col("n_words"), F.lit(1))))
+    # the common words of each language are at most COMMON_WORDS, the languages at most 1,000: the broadcast is bounded
+    rows = measured.join(F.broadcast(own), "lang", "left").withColumn("ref", F.coalesce("own", every.scalar()))
+    hits = F.filter("short", lambda w: F.array_contains(F.col("ref.common"), w))
+    counts = _each(hits, lambda h: F.transform(F.col("ref.common"), lambda t: (F.size(h) - F.size(F.array_remove(h, t)))
+                                               / F.greatest(F.col("n_words"), F.lit(1))))
     shares = _each(counts, lambda c: F.concat(
         c, F.array(F.greatest(F.lit(0.0), F.lit(1.0) - F.aggregate(c, F.lit(0.0), lambda s, x: s + x)))))
-    n_chars = F.length("text")
-    rows = rows.select(
-        "doc_id", "n_words", F.length(_without(F.col("text"), BLANKS)).cast("long").alias("word_chars"),
-        (n_chars - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
-        duplicate_lines(F.col("text")).alias("n_dup_lines"), repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.when(n_chars >= JUDGED_CHARS, distance(class_shares(F.col("text")), F.col("ref.class_shares")))
-        .alias("class_distance"),
-        F.when(F.col("n_words") >= JUDGED_WORDS, distance(shares, F.col("ref.word_shares"))).alias("word_distance"))
+    rows = rows.withColumns({
+        "class_distance": F.when(F.col("n_chars") >= JUDGED_CHARS, distance(_shares(), F.col("ref.class_shares"))),
+        "word_distance": F.when(F.col("n_words") >= JUDGED_WORDS, distance(shares, F.col("ref.word_shares")))})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     usual = (F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
              & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
