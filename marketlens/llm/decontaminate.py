@@ -75,6 +75,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     are left out; without documents or items there are no rows.
     """
     spark = docs.sparkSession
+    session.ship(spark)
     path = session.scratch(spark, "decontaminate")
     _items(benchmark, item_id, item_text).write.parquet(os.path.join(path, "items"))
     items = spark.read.parquet(os.path.join(path, "items"))

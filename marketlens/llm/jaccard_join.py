@@ -158,6 +158,7 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
     out; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    session.ship(spark)
     path = session.scratch(spark, "jaccard")
     at = lambda name: os.path.join(path, name)
 

@@ -100,6 +100,7 @@ def keep_bitmaps(docs: DataFrame, *, min_chars: int = MIN_CHARS, doc_id: str = "
     line; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    session.ship(spark)
     key = ascii_lower(F.btrim("line", F.lit(BLANKS)))
     lines = (docs.select(*_ids(doc_id, text), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
                          .alias("pos", "line"))
@@ -138,6 +139,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, doc_id: str = "doc_id"
 
     A null text stays null. A column of the name ``n_dropped`` is replaced.
     """
+    session.ship(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("n_dropped", text)]
     ids = _ids(doc_id, text)
     right = bitmaps.select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("keep").alias("__keep"),

@@ -84,6 +84,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, spaced: bool, size: in
     other columns are left out; an empty table gives no rows. Only documents of more than ``size`` ids are cut.
     """
     spark = docs.sparkSession
+    session.ship(spark)
     path = session.scratch(spark, "packing")
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -141,15 +141,15 @@ def measure(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     n_chars = F.length("text")
     short = F.transform(F.filter("words", lambda w: F.length(w) <= COMMON_CHARS), lambda w: F.lower(w))
     return rows.select(
-        "doc_id", "lang", n_chars.alias("n_chars"), F.size("words").cast("long").alias("n_words"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), "lang", n_chars.alias("n_chars"), F.size("words").cast("long").alias("n_words"),
         (n_chars - F.get("classes", F.lit(1))).cast("long").alias("word_chars"),
         F.get("classes", F.lit(5)).cast("long").alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"), "classes", short.alias("short"))
 
 
 def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance, word_distance.
+    """One row per document: doc_id, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    kept, class_distance, word_distance.
 
     Rejected are documents that fail the base rules and documents whose class or word histogram is too far from that of
     their language. Texts of fewer than ``JUDGED_CHARS`` characters or ``JUDGED_WORDS`` words are not judged by the
@@ -178,5 +178,13 @@ def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     usual = (F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
              & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
     return (rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & usual)
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-                    "class_distance", "word_distance"))
+            .select("doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                    "kept", "class_distance", "word_distance"))
+
+
+def keep(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """All columns of the documents that :func:`assess` keeps; the rejected ones, told by id and text, are taken out."""
+    bad = (assess(docs, doc_id=doc_id, text=text, lang=lang).where(~F.col("kept"))
+           .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    hashed = F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit("")))
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad["__id"]) & (hashed == bad["__hash"]), "left_anti")

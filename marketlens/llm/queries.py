@@ -60,7 +60,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts on all documents."""
-    return quality.assess(table(spark, sf_dir, "documents"))
+    return quality.assess(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def _secret_sql() -> str:

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketlens import session
 from marketlens.llm import tokens, words
 
 ROW_INDEX_STRIDE = 1000
@@ -33,6 +34,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, *, spa
     texts count as empty: they get the end id alone. Null ids come first; rows with the same id stand in the order of
     their texts' hashes and texts. Other columns are left out. An empty table gives no rows.
     """
+    session.ship(docs.sparkSession)
     ordered = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
                .withColumn("text_hash", F.xxhash64("text")))
     ordered = (ordered.repartitionByRange("doc_id", "text_hash")
@@ -79,6 +81,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def with_checksum(df: DataFrame, ids: str = "tokens", name: str = "ids_crc32") -> DataFrame:
     """Replace the column of ids by the unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+    session.ship(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name != ids]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{name}` long"])
 
