@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marketlens.catalog import joins as jn
@@ -35,7 +37,7 @@ def job_ods(spark, sf):
 def _route_changes(spark):
     """Config changes: the routes, one that is replaced and one that is deleted."""
     none = F.lit(None).cast("map<string,string>")
-    rows = [("r", *r, 1) for r in ROUTES] + [
+    rows = [("u", *r, 1) for r in ROUTES] + [
         ("r", "order_info", "dim_order", "id", "info", "id", 1), ("d", "order_info", "dim_order", "id", "info", "id", 2),
         ("r", "cart_info", "dim_old_cart", "id", "info", "id", 0)]
     df = rd.local_table(spark, f"op STRING, {ROUTE}, ts_ms BIGINT", rows)
@@ -47,7 +49,13 @@ def _route_changes(spark):
 
 @query("job_dim", CELLS_SQL, ["user_info", "user_info_sup_msg", "cart_info"], CELLS)
 def job_dim(spark, sf):
-    rows = dims.dim_job(st.change_log(spark, sf, *ROUTED), _route_changes(spark), st.DB)
+    database = f"dims_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(spark, 'dim-tables')}'")
+    for name in {r[1] for r in ROUTES}:  # rows of an earlier config, which the update must not leave
+        spark.sql(f"CREATE TABLE {database}.{name} (row_key STRING, info MAP<STRING,STRING>) USING parquet")
+        spark.sql(f"INSERT INTO {database}.{name} VALUES ('old', map('old', 'old'))")
+    rows = dims.dim_job(spark, st.change_log(spark, sf, *ROUTED), _route_changes(spark), st.DB, database,
+                        scratch(spark, "dim-rows"))
     return rows.select("sink_table", "row_key", F.explode("cells").alias("col", "val"))
 
 

@@ -8,7 +8,7 @@ from marketlens.catalog import joins as jn
 from marketlens.catalog.filters import USERS, as_of
 from marketlens.catalog.registry import day, moment, query, window
 from marketlens.functions import clock as ck, scalars as fs, scores as sc
-from marketlens.operators.joins import small_join
+from marketlens.operators.joins import equi_join
 from marketlens.sources import standins as st
 
 
@@ -157,13 +157,12 @@ def score_device(spark, sf):
 
 
 @query("score_search", f"SELECT id, {jn.SEARCH_SQL} FROM (SELECT s.id, c.search_category FROM dim_sku_info s "
-                       "LEFT JOIN category_compare_dic c ON CAST(c.id AS VARCHAR) = substr(s.category3_id, 1, 1) "
-                       "AND c.id < 6)", ["dim_sku_info", "category_compare_dic"])
+                       "LEFT JOIN category_compare_dic c ON CAST(c.id AS VARCHAR) = substr(s.category3_id, 1, 1))", ["dim_sku_info", "category_compare_dic"])
 def score_search(spark, sf):
     sku = st.record(spark, sf, "dim_sku_info").select("id", F.substring("category3_id", 1, 1).alias("no"))
-    names = st.record(spark, sf, "category_compare_dic").where("id < 6").select(
+    names = st.record(spark, sf, "category_compare_dic").select(
         F.col("id").cast("string").alias("no"), "search_category")
-    return small_join(sku, names, ["no"], "left").select("id", *sc.score_search(F.col("search_category")))
+    return equi_join(sku, names, ["no"], "left").select("id", *sc.score_search(F.col("search_category")))
 
 
 @query("score_pay_time", f"""SELECT id, slot, {jn.PAY_TIME_SQL} FROM (SELECT id, {jn._SLOT} AS slot FROM (

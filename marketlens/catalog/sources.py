@@ -40,7 +40,7 @@ def src_envelope_table(spark, sf):
 @query("src_page_log_table", f"""
     SELECT mid, page_id, {moment(window('ts_ms', 1))} AS rt FROM page_log WHERE k <> 97""", ["page_log"])
 def src_page_log_table(spark, sf):
-    rows = rd.page_log_table(st.log_topic(spark, sf).where("length(value) > 25"))
+    rows = rd.page_log_table(st.log_topic(spark, sf)).where("common.mid IS NOT NULL")  # lines that are cut off have none
     return rows.select("common.mid", "page.page_id", F.substring(F.col("rt").cast("string"), 1, 19).alias("rt"))
 
 

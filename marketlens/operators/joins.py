@@ -1,76 +1,44 @@
-"""Joins: skew-proof equi joins, dimension lookups and interval joins.
+"""Joins: equi joins that stand skew, dimension lookups and interval joins.
 
-A key may hold a large share of all rows. Joins of large inputs therefore count rows per key first
-(partial counts combine before the shuffle), split the rows of a hot key over several tasks and send the
-matching rows of the other side to each of them. Inputs too small to hold a group that is too big for a task
-are joined directly.
+A key may hold a large share of all rows. Adaptive execution splits the large partitions of a join while it runs, whatever
+the size of the inputs, on either side of an inner join and on the left of a left join; so joins stay plain, each side
+is evaluated once, and the planner alone decides on broadcasts. What it cannot split are null keys of a left join,
+which match nothing and yet meet in one task: they are spread by the content of their rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-from marketlens.session import fits_broadcast, input_bytes
 
-HOT_ROWS = 2_000_000  # rows of one key that a task still handles well
-MAX_HOT_KEYS = 10_000  # bound of the broadcast list of hot keys
-MAX_PARTS = 10_000  # bound of the copies made of a row that meets a hot key
-SALT_FROM_BYTES = 4 << 30  # inputs below this hold no group too big for a task
+def _hashable(kind) -> bool:
+    """Whether Spark can hash values of the type (maps have no order)."""
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
 
 
-def hot_keys(df: DataFrame, on: list[str], splits: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of parts to split each into.
+def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", null_keys: bool = True,
+              clustered: bool = False) -> DataFrame:
+    """Inner or left equi join on equally named columns.
 
-    At most ``MAX_HOT_KEYS`` of them, the largest first, so the result may be broadcast; keys beyond
-    that are still joined, only unsplit.
+    ``null_keys`` false says that the left keys are never null, so that partitionings on them can be used again. ``clustered`` says that
+    the left rows of a key come out of one task, as after a grouping by it; they are dealt out by their content first,
+    since adaptive execution splits between the tasks that rows come from. In a left join the right side has few rows per key (one, for a lookup): only the left side of a hot key is split.
     """
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    top = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    parts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_PARTS)).cast("int")
-    return top.select(*on, parts.alias(splits))
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                unique_right: bool = False, hot_rows: int = HOT_ROWS,
-                min_bytes: int = SALT_FROM_BYTES) -> DataFrame:
-    """Inner or left equi join on equally named columns, with hot keys of either side split.
-
-    ``unique_right`` says the right side has one row per key, so only the left side is counted.
-    """
-    if left.isStreaming or right.isStreaming or input_bytes(left) + input_bytes(right) < min_bytes:
+    content = [f.name for f in left.schema.fields if _hashable(f.dataType)]
+    if clustered:
+        left = left.repartition(F.xxhash64(*content))
+    if how != "left" or not null_keys or left.isStreaming or right.isStreaming:
         return left.join(right, on, how)
-    if how == "left" and not unique_right:
-        # Splitting the right side must not leave a left row unmatched in one part and matched in another.
-        found = salted_join(left, right, on, "inner", False, hot_rows, min_bytes)
-        missed = left.join(right.select(*on).distinct(), on, "left_anti")
-        return found.unionByName(missed, allowMissingColumns=True)
-    hot = hot_keys(left, on, "_lp", hot_rows)
-    if unique_right:
-        hot = hot.withColumn("_rp", F.lit(1))
-    else:
-        hot = hot.join(hot_keys(right, on, "_rp", hot_rows), on, "full")
-    hot = F.broadcast(hot)
-    # The partition number is the same whenever a lost task runs again, unlike a random number.
-    own = lambda n: F.pmod(F.spark_partition_id(), F.coalesce(n, F.lit(1)))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
-    lhs = (left.join(hot, on, "left").withColumn("_ls", own(F.col("_lp")))
-           .withColumn("_rs", every(F.col("_rp"))).drop("_lp", "_rp"))
-    rhs = (right.join(hot, on, "left").withColumn("_rs", own(F.col("_rp")))
-           .withColumn("_ls", every(F.col("_lp"))).drop("_lp", "_rp"))
-    return lhs.join(rhs, [*on, "_ls", "_rs"], how).drop("_ls", "_rs")
-
-
-def small_join(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               unique_right: bool = True) -> DataFrame:
-    """Join with a side that Spark broadcasts if its size is within the session's limit, else :func:`salted_join`.
-
-    No hint is given, so the planner keeps the last word on the broadcast.
-    """
-    if fits_broadcast(small):
-        return df.join(small, on, how)
-    return salted_join(df, small, on, how, unique_right)
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    spread = F.when(empty, F.xxhash64(*content)).otherwise(F.lit(0).cast("long"))
+    out = left.withColumn("_null_key", spread).join(right.withColumn("_null_key", F.lit(0).cast("long")), [*on, "_null_key"], how)
+    return out.drop("_null_key")
 
 
 @dataclass(frozen=True)
@@ -86,7 +54,7 @@ class DimSpec:
 def dim_lookup(df: DataFrame, spec: DimSpec, by: str) -> DataFrame:
     """Left lookup: rows without a match pass with nulls or the defaults of the spec."""
     dim = spec.table.select(F.col(spec.key).alias(by), *[F.col(c).alias(n) for c, n in spec.columns.items()])
-    out = small_join(df, dim, [by], "left")
+    out = equi_join(df, dim, [by], "left")
     added = {n: F.coalesce(n, F.lit(v)) for n, v in spec.defaults.items()}
     return out.withColumns(added) if added else out
 
@@ -97,7 +65,7 @@ def first_match(dim: DataFrame, name: str, value: str, order: str) -> DataFrame:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str,
-                  before_ms: int, after_ms: int, **salting: int) -> DataFrame:
+                  before_ms: int, after_ms: int) -> DataFrame:
     """Inner join of rows with equal keys and ``right_ts`` within ``left_ts - before .. left_ts + after``.
 
     Time is cut into pieces as long as the interval; a left row meets at most two pieces, so a hot key is
@@ -108,7 +76,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str
     lts, rts = F.col(left_ts), F.col(right_ts)
     lhs = left.withColumn("_piece", F.explode(F.sequence(piece(lts - before_ms), piece(lts + after_ms), width)))
     rhs = right.withColumn("_piece", piece(rts))
-    return (salted_join(lhs, rhs, [*on, "_piece"], **salting)
+    return (equi_join(lhs, rhs, [*on, "_piece"])
             .where((rts >= lts - before_ms) & (rts <= lts + after_ms)).drop("_piece"))
 
 
@@ -127,7 +95,7 @@ def prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFram
 
 def word_membership(words: DataFrame, word_set: DataFrame, by: str = "word") -> DataFrame:
     """Words with a flag: in the set or not."""
-    return (small_join(words, word_set.select(F.col("word").alias(by), F.lit(True).alias("in_set")), [by], "left")
+    return (equi_join(words, word_set.select(F.col("word").alias(by), F.lit(True).alias("in_set")), [by], "left")
             .withColumn("in_set", F.coalesce("in_set", F.lit(False))))
 
 

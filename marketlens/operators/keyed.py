@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 from marketlens.functions.clock import DAY_MS, day_diff, ts_to_date
 from marketlens.functions.scalars import is_empty, negate_amount
 from marketlens.operators.filters import filter_home_detail, filter_login_page
-from marketlens.operators.joins import salted_join
+from marketlens.operators.joins import equi_join
 
 
 def _orderable(kind: DataType) -> bool:
@@ -60,7 +60,7 @@ def fix_is_new(logs: DataFrame, order: list[str], zone: str = "UTC") -> DataFram
     seen = F.col("_f.ts_ms") - F.when(F.col("_f.is_new") == "1", 0).otherwise(DAY_MS)
     first = first.select("mid", ts_to_date(seen, zone).alias("_first_date"))
     old = (F.col("is_new") == "1") & (ts_to_date("ts_ms", zone) != F.col("_first_date"))
-    return (salted_join(logs, first, ["mid"], "left", unique_right=True)
+    return (equi_join(logs, first, ["mid"], "left")
             .withColumn("is_new", F.when(old, F.lit("0")).otherwise(F.col("is_new")))
             .select(*logs.columns))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.functions.scalars import is_empty, keep_keys, md5_key
-from marketlens.operators.joins import small_join
+from marketlens.operators.joins import equi_join
 
 ROUTE_FIELDS = ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
 DELETED = "__deleted"
@@ -34,23 +34,54 @@ def lifecycle_actions(changes: DataFrame) -> DataFrame:
         "sink_table", "sink_family", "op", "ts_ms", F.posexplode(actions).alias("step", "action"))
 
 
-def dim_table_lifecycle(spark: SparkSession, changes: DataFrame, location: str, max_tables: int = 10_000) -> list[str]:
-    """Create and drop the sink tables so that they match the latest config; returns those now existing.
+def _quoted(*names: str) -> str:
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
 
-    Only the last action per table counts, and there is one per table, so what comes to the driver is bounded.
+
+def families(text: str | None) -> list[str]:
+    """Column families of a config row, the first of which takes the cells."""
+    return [f.strip() for f in (text or "info").split(",") if f.strip()] or ["info"]
+
+
+def dim_table_lifecycle(spark: SparkSession, changes: DataFrame, database: str) -> dict[str, list[str]]:
+    """Create and drop the tables of ``database`` so that they match the latest config; the tables now existing and
+    their families.
+
+    Only the last action per table counts. Tables are managed, so a table that is dropped and created anew is empty. Each
+    family is a map of cells. The rows, one per table, come one by one; each is an action on the catalog.
     """
     last = (lifecycle_actions(changes).groupBy("sink_table")
-            .agg(F.max_by(F.struct("op", "action"), F.struct("ts_ms", "step")).alias("last"))
-            .select("sink_table", "last.*").limit(max_tables + 1).collect())
-    if len(last) > max_tables:
-        raise ValueError(f"more than {max_tables} sink tables in the config")
-    for row in last:
+            .agg(F.max_by(F.struct("op", "action", "sink_family"), F.struct("ts_ms", "step")).alias("last"))
+            .select("sink_table", "last.*"))
+    made = {}
+    for row in last.toLocalIterator():
+        name = _quoted(database, row.sink_table)
         if row.op in ("d", "u"):
-            spark.sql(f"DROP TABLE IF EXISTS `{row.sink_table}`")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         if row.action == "create":
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{row.sink_table}` (row_key STRING, cells MAP<STRING,STRING>) "
-                      f"USING parquet LOCATION '{location}/{row.sink_table}'")
-    return sorted(r.sink_table for r in last if r.action == "create")
+            made[row.sink_table] = families(row.sink_family)
+            columns = ", ".join(f"{_quoted(f)} MAP<STRING,STRING>" for f in made[row.sink_table])
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (row_key STRING, {columns}) USING parquet")
+    return made
+
+
+def write_dims(spark: SparkSession, rows: DataFrame, database: str, tables: dict[str, list[str]], path: str) -> None:
+    """Put rows ``sink_table, row_key, cells`` into the tables of the lifecycle; ``path`` takes them in one pass first."""
+    rows.write.partitionBy("sink_table").parquet(path)
+    stored = spark.read.schema("row_key STRING, cells MAP<STRING,STRING>, sink_table STRING").parquet(path)
+    for name, (first, *others) in tables.items():
+        none = [F.lit(None).cast("map<string,string>").alias(f) for f in others]
+        (stored.where(F.col("sink_table") == name).select("row_key", F.col("cells").alias(first), *none)
+         .write.insertInto(_quoted(database, name)))
+
+
+def read_dim_tables(spark: SparkSession, database: str, tables: dict[str, list[str]]) -> DataFrame:
+    """All tables of the lifecycle as rows ``sink_table, row_key, cells``."""
+    out = None
+    for name, (first, *_) in sorted(tables.items()):
+        part = spark.table(_quoted(database, name)).select(F.lit(name).alias("sink_table"), "row_key", F.col(first).alias("cells"))
+        out = part if out is None else out.unionAll(part)
+    return spark.createDataFrame([], "sink_table STRING, row_key STRING, cells MAP<STRING,STRING>") if out is None else out
 
 
 def route_dim_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
@@ -61,7 +92,7 @@ def route_dim_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
     rows = changes.select(
         F.col("source")["table"].alias("source_table"), "op", "ts_ms",
         F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")).alias("payload"))
-    routed = small_join(rows, routes.select(*ROUTE_FIELDS), ["source_table"])
+    routed = equi_join(rows, routes.select(*ROUTE_FIELDS), ["source_table"])
     return routed.where("payload IS NOT NULL").select(
         "source_table", "sink_table", "sink_family", F.element_at("payload", F.col("sink_row_key")).alias("row_key"),
         "op", "ts_ms", keep_keys("payload", "sink_columns").alias("data"))
@@ -70,7 +101,7 @@ def route_dim_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
 def route_fact_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Older change records (``table, type, ts, data``) by table and type, ``ts`` added to the payload."""
     rows = changes.select(F.col("table").alias("source_table"), F.col("type").alias("source_type"), "ts", "data")
-    routed = small_join(rows, routes, ["source_table", "source_type"])
+    routed = equi_join(rows, routes, ["source_table", "source_type"])
     return routed.select("source_table", "source_type", "sink_table", F.map_concat(
         F.map_filter(keep_keys("data", "sink_columns"), lambda k, _: k != "ts"),
         F.create_map(F.lit("ts"), F.col("ts").cast("string"))).alias("data"))
@@ -80,7 +111,7 @@ def route_dim_md5(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Puts with the md5 of the key as row key and all columns kept; null becomes the text null, deletes are left out."""
     rows = changes.where("op <> 'd' AND after IS NOT NULL").select(
         F.col("source")["table"].alias("source_table"), "ts_ms", "after")
-    routed = small_join(rows, routes.select(*ROUTE_FIELDS), ["source_table"])
+    routed = equi_join(rows, routes.select(*ROUTE_FIELDS), ["source_table"])
     return routed.select(
         "source_table", "sink_table", md5_key(F.element_at("after", F.col("sink_row_key"))).alias("row_key"), "ts_ms",
         F.transform_values("after", lambda _, v: F.coalesce(v, F.lit("null"))).alias("data"))

@@ -77,10 +77,9 @@ def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[s
     return rows if deleted is None else rows.where(~deleted)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
-    """Rewrite a keyed table into ``target`` as one batch, spread by key."""
-    rows = read_upserted(spark, path, keys, order).repartition(buckets, *keys)
-    write_batch(rows, target, 0)
+def compact(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str]) -> None:
+    """Rewrite a keyed table into ``target`` as one batch; the merge deals it out by key, in as many files as it has parts."""
+    write_batch(read_upserted(spark, path, keys, order), target, 0)
 
 
 def dim_upsert(routed: DataFrame, path: str, batch_id: int) -> None:

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.operators.filters import cdc_filter_valid, region_filter, weather_flatten
 from marketlens.operators.joins import word_membership, words_of
-from marketlens.operators.routing import config_latest, dim_cells, dim_rows, route_dim_by_config
+from marketlens.operators.routing import (
+    config_latest, dim_cells, dim_rows, dim_table_lifecycle, read_dim_tables, route_dim_by_config, write_dims)
 from marketlens.operators.windows import run_summary
 
 
-def dim_job(changes: DataFrame, config_changes: DataFrame, db: str) -> DataFrame:
-    """Changes routed by the config in force, merged into rows ``sink_table, row_key, cells``."""
-    routes = config_latest(config_changes)
-    return dim_rows(dim_cells(route_dim_by_config(cdc_filter_valid(changes, db), routes)))
+def dim_job(spark: SparkSession, changes: DataFrame, config_changes: DataFrame, db: str, database: str,
+            path: str) -> DataFrame:
+    """The dimension job: config to tables, changes routed by the config in force, written into these tables, and read back.
+
+    ``database`` holds the tables; ``path`` is scratch space. Rows are ``sink_table, row_key, cells``.
+    """
+    tables = dim_table_lifecycle(spark, config_changes, database)
+    routed = route_dim_by_config(cdc_filter_valid(changes, db), config_latest(config_changes))
+    write_dims(spark, dim_rows(dim_cells(routed)), database, tables, path)
+    return read_dim_tables(spark, database, tables)
 
 
 def sensitive_hits(texts: DataFrame, key: str, text: str, word_set: DataFrame) -> DataFrame:

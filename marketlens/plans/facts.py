@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketlens.functions.clock import millis_to_date
 from marketlens.operators import filters as fl
-from marketlens.operators.joins import salted_join, small_join
+from marketlens.operators.joins import equi_join
 from marketlens.sources.schemas import ORDER_DETAIL_FACT
 
 _SPLITS = ["sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
@@ -19,7 +19,7 @@ def comment_fact(changes: DataFrame, dic: DataFrame) -> DataFrame:
     comments = fl.cdc_select_table(changes, "comment_info", [
         "id", "user_id", "sku_id", "appraise", "comment_txt", "create_time"])
     names = dic.select(F.col("dic_code").alias("appraise"), F.col("info.dic_name").alias("appraise_name"))
-    return small_join(comments, names, ["appraise"]).select(
+    return equi_join(comments, names, ["appraise"]).select(
         "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts_ms")
 
 
@@ -33,15 +33,16 @@ def order_detail_fact(changes: DataFrame) -> DataFrame:
     acts = acts.select(F.col("order_detail_id").alias("id"), "activity_id", "activity_rule_id")
     coupons = fl.cdc_select_table(changes, "order_detail_coupon", ["order_detail_id", "coupon_id"])
     coupons = coupons.select(F.col("order_detail_id").alias("id"), "coupon_id")
-    joined = salted_join(details, orders, ["order_id"])
-    joined = salted_join(salted_join(joined, acts, ["id"], "left"), coupons, ["id"], "left")
+    joined = equi_join(details, orders, ["order_id"])
+    joined = equi_join(joined, acts, ["id"], "left", null_keys=False)
+    joined = equi_join(joined, coupons, ["id"], "left", null_keys=False)
     return joined.withColumn("date_id", millis_to_date("create_time")).select(*ORDER_DETAIL_FACT)
 
 
 def cancel_fact(order_details: DataFrame, changes: DataFrame, strict: bool = True) -> DataFrame:
     """Order lines of cancelled orders."""
     cancels = fl.filter_order_cancel(changes, strict).withColumnsRenamed({"id": "order_id"})
-    joined = salted_join(order_details.drop("ts_ms"), cancels, ["order_id"])
+    joined = equi_join(order_details.drop("ts_ms"), cancels, ["order_id"])
     return joined.select(*_DETAIL, millis_to_date("create_time").alias("date_id"),
                          F.col("operate_time").alias("cancel_time"), *_SPLITS, "ts_ms")
 
@@ -49,7 +50,7 @@ def cancel_fact(order_details: DataFrame, changes: DataFrame, strict: bool = Tru
 def payment_fact(order_details: DataFrame, changes: DataFrame) -> DataFrame:
     """Order lines of paid orders."""
     paid = fl.filter_payment_success(changes).drop("user_id")
-    joined = salted_join(order_details.drop("ts_ms"), paid, ["order_id"])
+    joined = equi_join(order_details.drop("ts_ms"), paid, ["order_id"])
     return joined.select(
         F.col("id").alias("order_detail_id"), *_DETAIL[1:], F.col("payment_type").alias("payment_type_code"),
         "callback_time", *_SPLITS[:4], F.col("split_total_amount").alias("split_payment_amount"), "ts_ms")
@@ -58,7 +59,7 @@ def payment_fact(order_details: DataFrame, changes: DataFrame) -> DataFrame:
 def refund_fact(changes: DataFrame) -> DataFrame:
     """Refund requests of orders in refund."""
     refunds, orders = fl.filter_refund_request(changes)
-    joined = salted_join(refunds, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
+    joined = equi_join(refunds, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
     return joined.select(
         "id", "user_id", "order_id", "sku_id", "province_id", millis_to_date("create_time").alias("date_id"),
         "create_time", F.col("refund_type").alias("refund_type_code"),
@@ -69,8 +70,8 @@ def refund_fact(changes: DataFrame) -> DataFrame:
 def refund_paid_fact(changes: DataFrame) -> DataFrame:
     """Paid refunds with their request and order."""
     paid, settled, orders = fl.filter_refund_paid(changes)
-    joined = salted_join(paid, settled, ["order_id", "sku_id"])
-    joined = salted_join(joined, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
+    joined = equi_join(paid, settled, ["order_id", "sku_id"])
+    joined = equi_join(joined, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
     return joined.select(
         "id", "user_id", "order_id", "sku_id", "province_id", F.col("payment_type").alias("payment_type_code"),
         millis_to_date("callback_time").alias("date_id"), "callback_time", "refund_num",

@@ -8,7 +8,7 @@ from marketlens.functions import scores as sc
 from marketlens.functions.clock import datetime_to_ts
 from marketlens.operators import filters as fl
 from marketlens.operators.dedupe import dedup_full_row, dedup_latest_detail
-from marketlens.operators.joins import first_match, interval_join, prefixed, salted_join, small_join
+from marketlens.operators.joins import equi_join, first_match, interval_join, prefixed
 from marketlens.operators.keyed import window_profile
 
 MINUTE, HOUR = 60_000, 3_600_000
@@ -27,7 +27,7 @@ def user_profile(changes: DataFrame, as_of: Column, minutes: int = 60) -> DataFr
 
 def user_label(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left rows with the body measures of the same user."""
-    return salted_join(left, right.select("uid", *MEASURES), ["uid"]).select(*left.columns, *MEASURES)
+    return equi_join(left, right.select("uid", *MEASURES), ["uid"]).select(*left.columns, *MEASURES)
 
 
 def comment_order(comments: DataFrame, orders: DataFrame, on: str, comment_ts: str, order_ts: str,
@@ -72,16 +72,16 @@ def category_tree(c3: DataFrame, c2: DataFrame, c1: DataFrame) -> DataFrame:
     """Third-level categories with the names of all three levels."""
     second = c2.select(F.col("id").alias("category2_id"), F.col("name").alias("b2name"), "category1_id")
     first = c1.select(F.col("id").alias("category1_id"), F.col("name").alias("b1name"))
-    rows = small_join(c3.withColumnsRenamed({"name": "b3name"}), second, ["category2_id"])
-    return small_join(rows, first, ["category1_id"]).select("id", "b3name", "b2name", "b1name")
+    rows = equi_join(c3.withColumnsRenamed({"name": "b3name"}), second, ["category2_id"])
+    return equi_join(rows, first, ["category1_id"]).select("id", "b3name", "b2name", "b1name")
 
 
 def sku_brand(sku: DataFrame, spu: DataFrame, trademark: DataFrame) -> DataFrame:
     """Products with their group, category and brand name."""
     groups = spu.select(F.col("id").alias("spu_id"), F.col("category3_id"), "tm_id")
     brands = trademark.select(F.col("id").alias("tm_id"), "tm_name")
-    rows = small_join(sku.select("id", "spu_id"), groups, ["spu_id"])
-    return small_join(rows, brands, ["tm_id"]).select("id", F.col("spu_id").alias("spuid"), "category3_id", "tm_name")
+    rows = equi_join(sku.select("id", "spu_id"), groups, ["spu_id"])
+    return equi_join(rows, brands, ["tm_id"]).select("id", F.col("spu_id").alias("spuid"), "category3_id", "tm_name")
 
 
 def lookup_category_by_name(df: DataFrame, tree: DataFrame, compare: DataFrame, item: str = "search_item") -> DataFrame:
@@ -90,7 +90,7 @@ def lookup_category_by_name(df: DataFrame, tree: DataFrame, compare: DataFrame,
         F.col("b3name").alias(item), F.col("b1name").alias("b1_category"))
     by_category = first_match(compare, "category_name", "search_category", "id").select(
         F.col("category_name").alias("b1_category"), F.col("search_category"))
-    return small_join(small_join(df, by_name, [item], "left"), by_category, ["b1_category"], "left")
+    return equi_join(equi_join(df, by_name, [item], "left"), by_category, ["b1_category"], "left")
 
 
 def score_device_search(profiles: DataFrame, tree: DataFrame, compare: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def lookup_sku_category(df: DataFrame, brands: DataFrame, tree: DataFrame) -> Da
     sku = brands.groupBy("id").agg(F.min(F.struct("category3_id", "tm_name")).alias("_b")).select(
         F.col("id").alias("sku_id"), F.col("_b.category3_id").alias("c3id"), F.col("_b.tm_name").alias("tname"))
     top = first_match(tree, "id", "b1name", "b3name").select(F.col("id").alias("c3id"), F.col("b1name").alias("b1_name"))
-    return small_join(small_join(df, sku, ["sku_id"], "left"), top, ["c3id"], "left")
+    return equi_join(equi_join(df, sku, ["sku_id"], "left"), top, ["c3id"], "left")
 
 
 def score_orders(orders: DataFrame, brands: DataFrame, tree: DataFrame) -> DataFrame:

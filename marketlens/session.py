@@ -1,4 +1,4 @@
-"""Session helpers: scratch space, temporary settings and plan size estimates."""
+"""Session helpers: scratch space, shipping the package and temporary settings."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -73,29 +73,3 @@ def settings(spark: SparkSession, **conf: str):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` (file sizes and row widths; no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the sizes of the relations ``df`` reads, by Catalyst's estimate."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Bytes below which a side may be broadcast; -1 or less switches broadcasting off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text[:-1] if text.endswith("b") else text
-    if text and text[-1] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size of ``df`` is within the session's broadcast limit."""
-    return estimated_bytes(df) <= broadcast_limit(df.sparkSession)

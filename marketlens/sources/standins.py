@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from marketlens.session import input_bytes, scratch
+from marketlens.session import scratch
 
 DB = "retail"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -251,20 +251,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spread(spark.read.schema(_SCHEMAS[path]).parquet(path))
-
-
-SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 1 << 20, 1 << 28
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a small table that lies in one row group, which one task would read and process alone.
-
-    Tables of more than ``SPREAD_TO_BYTES`` have splits enough and are left as they are.
-    """
-    if SPREAD_FROM_BYTES <= input_bytes(df) <= SPREAD_TO_BYTES:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def record(spark: SparkSession, sf_dir: str, name: str, row_id: bool = False) -> DataFrame:
@@ -277,7 +264,7 @@ def record(spark: SparkSession, sf_dir: str, name: str, row_id: bool = False) ->
     if row_id:
         text = re.sub(r"^\s*SELECT", "SELECT row_id,", text)
         position = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias("row_id")
-        used = {t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet").select("*", position)) for t in names}
+        used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").select("*", position) for t in names}
     else:
         used = {t: table(spark, sf_dir, t) for t in names}
     quoted = text.replace("{", "{{").replace("}", "}}")

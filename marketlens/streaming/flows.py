@@ -20,11 +20,8 @@ from marketlens.streaming import processors as pr
 
 @contextmanager
 def state_settings(spark: SparkSession):
-    """Settings the stateful queries need: RocksDB state, and no more state partitions than cores can serve."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    most = max(2 * spark.sparkContext.defaultParallelism, 1)
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER,
-                  spark__sql__shuffle__partitions=str(min(wanted, most))):
+    """Settings the stateful queries need: RocksDB state. The session's shuffle partitions stay, frozen in the checkpoint."""
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
         yield spark
 
 

@@ -1,4 +1,4 @@
-"""Skew-proof joins and interval joins against brute force."""
+"""Joins that stand skew and interval joins against brute force."""
 
 from __future__ import annotations
 
@@ -21,49 +21,64 @@ def _sides(spark):
             spark.createDataFrame(right, "k STRING, b STRING").repartition(3))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, how):
-    left, right = _sides(spark)
-    got = jn.salted_join(left, right, ["k"], how, hot_rows=15, min_bytes=0).select("k", "a", "b")
-    assert rows(got) == rows(left.join(right, "k", how).select("k", "a", "b"))
+def _largest_task(df):
+    """Rows of the largest partition as adaptive execution leaves them."""
+    return max(df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect())
+
+
+SPLIT = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16k",
+         "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "16k",
+         "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5", "spark__sql__shuffle__partitions": "24"}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_with_unique_right(spark, how):
+def test_equi_join_equals_plain_join(spark, how):
     left, right = _sides(spark)
-    right = right.groupBy("k").agg(F.min("b").alias("b"))
-    got = jn.salted_join(left, right, ["k"], how, unique_right=True, hot_rows=15, min_bytes=0).select("k", "a", "b")
+    if how == "left":
+        right = right.groupBy("k").agg(F.min("b").alias("b"))
+    got = jn.equi_join(left, right, ["k"], how).select("k", "a", "b")
     assert rows(got) == rows(left.join(right, "k", how).select("k", "a", "b"))
 
 
-def test_hot_keys_are_split(spark):
-    left, _ = _sides(spark)
-    assert rows(jn.hot_keys(left, ["k"], "n", hot_rows=100)) == [("hot", 4)]
-
-
-def test_salted_join_spreads_a_hot_key(spark):
-    left = spark.range(6000, numPartitions=12).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "id")
-    right = spark.createDataFrame([("hot", 1)], "k STRING, v INT")
-
-    def largest(df):
-        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 2000
-        return max(sizes)
-
-    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
-        assert largest(left.join(right, "k")) == 2000
-        assert largest(jn.salted_join(left, right, ["k"], unique_right=True, hot_rows=200, min_bytes=0)) < 1200
-
-
-def test_small_join_beyond_the_broadcast_limit(spark):
-    left, right = _sides(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = jn.small_join(left, right, ["k"], "inner", unique_right=False)
-        assert "_ls" in got._jdf.queryExecution().toString()
-        assert got.count() == left.join(right, "k").count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("clustered", [False, True])
+def test_hot_key_is_split_whatever_the_input_order(spark, how, clustered):
+    with settings(spark, **SPLIT):
+        left = spark.range(60_000, numPartitions=12).selectExpr(
+            "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "id", "sha2(CAST(id AS STRING), 256) AS pad")
+        if clustered:
+            left = left.groupBy("k", "id").agg(F.max("pad").alias("pad")).repartition(8, "k")
+        right = spark.range(60_000).selectExpr("IF(id = 0, 'hot', CAST(id AS STRING)) AS k", "id AS v")
+        got = jn.equi_join(left, right, ["k"], how, clustered=clustered)
+        assert got.count() == 60_000
+        assert _largest_task(got) < 15_000
+
+
+def test_hot_key_of_both_sides_is_split(spark):
+    with settings(spark, **SPLIT):
+        left = spark.range(6000, numPartitions=8).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "id",
+                                                             "sha2(CAST(id AS STRING), 512) AS pad")
+        right = spark.range(3000, numPartitions=4).selectExpr("IF(id < 300, 'hot', CAST(id AS STRING)) AS k", "id AS v",
+                                                              "sha2(CAST(id AS STRING), 512) AS pad2")
+        got = jn.equi_join(left, right, ["k"])
+        assert got.where("k = 'hot'").count() == 2000 * 300
+        assert _largest_task(got) < 300_000
+
+
+def test_null_keys_of_a_left_join_are_spread(spark):
+    with settings(spark, **SPLIT):
+        left = spark.range(6000).selectExpr("IF(id % 3 = 0, CAST(id AS STRING), NULL) AS k", "id", "map('a', id) AS m")
+        right = spark.range(6000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+        got = jn.equi_join(left, right, ["k"], "left")
+        assert got.where("k IS NULL AND v IS NULL").count() == 4000
+        assert _largest_task(got) < 1500
+
+
+def test_sides_are_read_once(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        left, right = _sides(spark)
+        plan = jn.equi_join(left, right, ["k"], "left")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") == 2
 
 
 @pytest.mark.parametrize("before,after", [(10, 10), (0, 7), (25, 3), (0, 0)])
@@ -74,9 +89,8 @@ def test_interval_join_equals_brute_force(spark, before, after):
     want = sorted((k, i, j) for k, t, i in lhs for q, u, j in rhs if k == q and t - before <= u <= t + after)
     left = spark.createDataFrame(lhs, "k STRING, lt BIGINT, i INT")
     right = spark.createDataFrame(rhs, "k STRING, rt BIGINT, j INT")
-    for extra in ({}, {"hot_rows": 5, "min_bytes": 0}):
-        got = jn.interval_join(left, right, ["k"], "lt", "rt", before, after, **extra).select("k", "i", "j")
-        assert sorted(map(tuple, got.collect())) == want
+    got = jn.interval_join(left, right, ["k"], "lt", "rt", before, after).select("k", "i", "j")
+    assert sorted(map(tuple, got.collect())) == want
 
 
 def test_dim_lookup_defaults(spark):

@@ -83,11 +83,32 @@ def test_config_latest_and_lifecycle(spark, tmp_path):
     data = _config([("r", a, 1), ("u", a2, 2), ("c", b, 1), ("d", b, 3), ("d", c, 1), ("c", c, 2)])
     df = spark.createDataFrame(data, CHANGE)
     assert rows(rt.config_latest(df).select("source_table", "sink_table")) == [("ta", "dim_a2"), ("tc", "dim_c")]
-    assert rt.dim_table_lifecycle(spark, df, str(tmp_path)) == ["dim_a", "dim_a2", "dim_c"]
-    names = {t.name for t in spark.catalog.listTables()}
-    assert {"dim_a2", "dim_c"} <= names and "dim_b" not in names
-    for t in ("dim_a", "dim_a2", "dim_c"):
-        spark.sql(f"DROP TABLE {t}")
+    spark.sql(f"CREATE DATABASE dims_test LOCATION '{tmp_path}/db'")
+    try:
+        assert set(rt.dim_table_lifecycle(spark, df, "dims_test")) == {"dim_a", "dim_a2", "dim_c"}
+        names = {t.name for t in spark.catalog.listTables("dims_test")}
+        assert names == {"dim_a", "dim_a2", "dim_c"}
+    finally:
+        spark.sql("DROP DATABASE dims_test CASCADE")
+
+
+def test_dropped_tables_keep_no_rows(spark, tmp_path):
+    name = "dim_odd"
+    spark.sql(f"CREATE DATABASE dims_test LOCATION '{tmp_path}/db'")
+    try:
+        first = spark.createDataFrame(_config([("r", ("t", name, "id", "info, more", "id"), 1)]), CHANGE)
+        tables = rt.dim_table_lifecycle(spark, first, "dims_test")
+        assert tables == {name: ["info", "more"]}
+        cells = spark.createDataFrame([(name, "1", {"id": "1"}), ("other", "2", {"id": "2"})],
+                                      "sink_table STRING, row_key STRING, cells MAP<STRING,STRING>")
+        rt.write_dims(spark, cells, "dims_test", tables, str(tmp_path / "rows"))
+        assert [r.row_key for r in rt.read_dim_tables(spark, "dims_test", tables).collect()] == ["1"]
+        again = rt.dim_table_lifecycle(spark, first, "dims_test")
+        assert rt.read_dim_tables(spark, "dims_test", again).count() == 1  # nothing changed
+        update = spark.createDataFrame(_config([("u", ("t", name, "id", "info", "id"), 2)]), CHANGE)
+        assert rt.read_dim_tables(spark, "dims_test", rt.dim_table_lifecycle(spark, update, "dims_test")).count() == 0
+    finally:
+        spark.sql("DROP DATABASE dims_test CASCADE")
 
 
 def test_fact_route_adds_time(spark):
@@ -107,6 +128,6 @@ def test_upsert_and_compact(spark, tmp_path):
     want = sorted(((k, max(i for i in range(100) if i % 7 == k)) for k in range(7)), key=repr)
     read = lambda p, d=None: sk.read_upserted(spark, p, ["k"], ["ts"], d)
     assert rows(read(path).select("k", "ts")) == want
-    sk.compact(spark, path, target, ["k"], ["ts"], 4)
+    sk.compact(spark, path, target, ["k"], ["ts"])
     assert rows(read(target).select("k", "ts")) == want
     assert rows(read(path, F.col("gone")).select("k", "ts")) == [w for w in want if w[1] % 5]
