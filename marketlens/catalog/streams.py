@@ -31,15 +31,25 @@ FAR_DATE = "2100-01-01"
 LOG_ORDER = ["ts_ms", "row_id"]
 
 
-def as_stream(df: DataFrame, **last: object) -> DataFrame:
-    """The rows as a file stream; ``last`` gives the fields of a closing row far in the future."""
+def as_stream(df: DataFrame, by: str | None = "ts_ms", **last: object) -> DataFrame:
+    """The rows as a file stream of three micro-batches in the order of a column, or of one without such a column.
+
+    ``last`` gives the fields of a closing row far in the future, a micro-batch of its own.
+    """
     spark, path = df.sparkSession, scratch(df.sparkSession, "stream")
-    df.write.parquet(path)
+    parts = [df]
+    if by in df.columns:
+        low, high = df.selectExpr(f"percentile({by}, 0.33)", f"percentile({by}, 0.66)").first()
+        if low is not None:
+            parts = [df.where(f"{by} <= {low} OR {by} IS NULL"), df.where(f"{by} > {low} AND {by} <= {high}"),
+                     df.where(f"{by} > {high}")]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
     if last:
         row = [last.get(f.name, FAR_MS if f.name == "ts_ms" else None) for f in df.schema.fields]
         free = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
-        spark.createDataFrame([row], free).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
+        spark.createDataFrame([row], free).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -110,7 +120,7 @@ def stream_retract_previous(spark, sf):
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY {LATEST}) AS rn FROM trade_order_detail) WHERE rn = 1""",
        ["trade_order_detail"])
 def stream_debounce_last(spark, sf):
-    facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), id="none")
+    facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), None, id="none")  # one burst of versions
     return drained(spark, flows.sku_lines(facts, VERSION)).where("id <> 'none'").select(
         "id", "sku_id", "ts_ms", "split_total_amount")
 
@@ -121,7 +131,7 @@ def stream_debounce_last(spark, sf):
       WHERE rn = 1 GROUP BY 1) f {jn.SKU_JOINS}""", ["trade_order_detail", *jn.SKU_DIMS.values()])
 def stream_job_dws_sku(spark, sf):
     # The windows are those of the time the stream runs at, so the sums over all of them are compared.
-    facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), id="none")
+    facts = as_stream(st.record(spark, sf, "trade_order_detail").select("id", *VERSION), None, id="none")  # one burst of versions
     path, names = scratch(spark, "sku"), list(SKU_COLUMNS.values())
     run_sink(spark, flows.sku_sink(flows.sku_lines(facts, VERSION), path, scratch(spark, "checkpoint")))
     rows = flows.read_sku_sums(spark, path, jn.sku_dims(spark, sf)).where("sku_id IS NOT NULL")
@@ -135,7 +145,7 @@ def stream_job_dws_sku(spark, sf):
                 AS seen FROM users)
     WHERE seen IS NULL OR ts_ms > seen""", ["user_info"], USERS)
 def stream_dedup_latest_ts(spark, sf):
-    users = as_stream(st.record(spark, sf, "user_info").select(F.col("id").alias("uid"), "name", "ts_ms", "arrival"))
+    users = as_stream(st.record(spark, sf, "user_info").select(F.col("id").alias("uid"), "name", "ts_ms", "arrival"), "arrival")
     return drained(spark, pr.keyed_rule(users, "uid", pr.DedupLatest(["arrival"]), users.schema)).drop("arrival")
 
 
@@ -219,22 +229,35 @@ def wm_none(spark, sf):
     return drained(spark, as_stream(_logs(spark, sf).select("row_id", "mid", "ts_ms")))
 
 
-def _windowed(name, delay):
-    """Counts per window of a stream whose watermark trails by ``delay``."""
-    @query(name, f"""SELECT {window_text('w', 10)}, n FROM (
-        SELECT {window('ts_ms', 10)} AS w, count(*) AS n FROM page_log GROUP BY 1)""", ["page_log"])
-    def run(spark, sf):
-        logs = as_stream(_logs(spark, sf).select("mid", "ts_ms"), mid="none")
-        rows = win.with_window_text(win.tumble_stream(logs, 10, [], [F.count("*").alias("n")], delay=delay), 10)
-        return drained(spark, rows).where(F.col("cur_date") != FAR_DATE)
+CUT_MS, TICK_MS = 1705276800000, 1706832000000
+LATE_SECONDS = [4, 6, 8, 12]  # by how much the later half of the rows trails the clock, in turns
 
 
-_windowed("wm_monotonous", "0 seconds")
-_windowed("wm_bounded_5s", "5 seconds")
-_windowed("wm_bounded_10s", "10 seconds")
-_windowed("wm_sql_3s", "3 seconds")
+def _windowed(name, seconds):
+    """Counts per two-second window; of the rows that are late, those stay whose window the watermark has not passed."""
+    late = f"CASE k % 4 {' '.join(f'WHEN {i} THEN {n}' for i, n in enumerate(LATE_SECONDS))} END"
 
-CUT_MS, TICK_MS = 1705276800000, 1706832000000
+    @query(name, f"""SELECT {window_text('w', 2)}, n FROM (
+        SELECT {window('t', 2)} AS w, count(*) AS n FROM (
+          SELECT CASE WHEN ts_ms < {CUT_MS} THEN ts_ms ELSE {TICK_MS} - 1000 * {late} END AS t FROM page_log)
+        WHERE t < {TICK_MS} - 100000 OR {window('t', 2)} + 2000 > {TICK_MS} - {seconds * 1000} GROUP BY 1)""", ["page_log"])
+    def run(spark, sf):
+        # The clock stands at the tick when the late rows come; late rows meet the watermark one micro-batch after it moved.
+        logs, path = st.record(spark, sf, "page_log").select("mid", "ts_ms", "k"), scratch(spark, "stream")
+        tick = lambda ms: spark.range(1).select(F.lit("none").alias("mid"), F.lit(ms).alias("ts_ms"))
+        early = logs.where(F.col("ts_ms") < CUT_MS).select("mid", "ts_ms").unionByName(tick(TICK_MS))
+        behind = logs.where(F.col("ts_ms") >= CUT_MS).select("mid", (F.lit(TICK_MS) - 1000 * F.expr(late)).alias("ts_ms"))
+        for part in (early, tick(TICK_MS), behind, tick(FAR_MS)):
+            part.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema("mid STRING, ts_ms BIGINT").option("maxFilesPerTrigger", 1).parquet(path)
+        rows = win.tumble_stream(stream, 2, [], [F.count("*").alias("n")], delay=f"{seconds} seconds")
+        return drained(spark, win.with_window_text(rows, 2)).where(F.col("cur_date") < "2024-02-02")
+
+
+_windowed("wm_monotonous", 0)
+_windowed("wm_bounded_5s", 5)
+_windowed("wm_bounded_10s", 10)
+_windowed("wm_sql_3s", 3)
 
 
 @query("late_data", f"""SELECT {window_text('w', 10)}, n FROM (

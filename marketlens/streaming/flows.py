@@ -61,10 +61,11 @@ def home_detail(logs: DataFrame, order: list[str], seconds: int = 10) -> DataFra
         F.sum(home).alias("home_uv_ct"), F.sum(1 - home).alias("good_detail_uv_ct")]), seconds)
 
 
-def logins(logs: DataFrame, order: list[str], seconds: int = 10, back_days: int = 8) -> DataFrame:
-    """Users logging in and users coming back."""
+def logins(logs: DataFrame, order: list[str], seconds: int = 10, back_days: int = 8,
+           keep_ms: int = 400 * pr.DAY_MS) -> DataFrame:
+    """Users logging in and users coming back, if within ``keep_ms``."""
     timed = with_watermark(fl.filter_login_page(logs), "0 seconds")
-    rows = pr.keyed_rule(timed, "uid", pr.LoginBack(order, back_days), _plus(timed.schema, "uu_ct", "back_ct"), "rt")
+    rows = pr.keyed_rule(timed, "uid", pr.LoginBack(order, back_days, keep_ms), _plus(timed.schema, "uu_ct", "back_ct"), "rt")
     return win.with_window_text(win.tumble_stream(rows, seconds, [], [
         F.sum("back_ct").alias("back_ct"), F.sum("uu_ct").alias("uu_ct")]), seconds)
 
@@ -83,13 +84,15 @@ def search_keywords(logs: DataFrame, seconds: int = 10, delay: str = "3 seconds"
     return win.with_window_text(counts, seconds)
 
 
-def province_orders(facts: DataFrame, provinces: DataFrame, order: list[str], seconds: int = 4) -> DataFrame:
-    """Order amount and distinct orders per province, with replaced versions taken back.
+def province_orders(facts: DataFrame, provinces: DataFrame, order: list[str], seconds: int = 4,
+                    keep_ms: int = 400 * pr.DAY_MS) -> DataFrame:
+    """Order amount and distinct orders per province, with versions taken back that are replaced within ``keep_ms``.
 
     The name lookup joins the window results with the province table, which Spark reads per micro-batch.
     """
     timed = with_watermark(facts, "0 seconds")
-    rows = pr.keyed_rule(timed, "id", pr.RetractPrevious(timed.schema, order, "split_total_amount"), timed.schema, "rt")
+    rows = pr.keyed_rule(timed, "id", pr.RetractPrevious(timed.schema, order, "split_total_amount", keep_ms),
+                         timed.schema, "rt")
     sums = win.tumble_stream(rows, seconds, ["province_id"], [
         F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
         *win.decimal_sums({"split_total_amount": "order_amount"})])

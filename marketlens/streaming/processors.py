@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime, timezone
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,37 +28,75 @@ def _day_start(date: str) -> int:
     return int(datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=timezone.utc).timestamp() * 1000)
 
 
+def _rank(row, order: list[str]) -> tuple:
+    """Place of a row in the order; nulls first."""
+    return tuple((row[c] is not None, row[c]) for c in order)
+
+
 def _in_order(rows: Iterator[Row], order: list[str]) -> list[Row]:
-    return sorted(rows, key=lambda r: tuple(r[c] for c in order))
+    return sorted(rows, key=lambda r: _rank(r, order))
+
+
+def _negated(amount: str | None) -> str | None:
+    """An amount with its sign turned and four decimals, as in batches; null where it is no number."""
+    try:
+        return None if amount is None else f"{-Decimal(amount).quantize(Decimal('0.0001'), ROUND_HALF_UP) + 0:f}"
+    except InvalidOperation:
+        return None
+
+
+class Expiring(StatefulProcessor):
+    """Base: state of a key is cleared once the watermark is ``keep_ms`` past the time it was last renewed for.
+
+    Timers are in event time, so a replay expires the same state. Without ``keep_ms`` the state stays.
+    """
+
+    keep_ms: int | None = None
 
+    def renew(self, ms: int) -> None:
+        """Put off the expiry to ``keep_ms`` after the given event time."""
+        if self.keep_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(ms + self.keep_ms)
 
-class OneValue(StatefulProcessor):
-    """Base: one value state of one field, with an optional time to live."""
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Forget the key."""
+        self.forget()
+        return iter(())
+
+    def close(self) -> None:
+        """Nothing to release."""
+
+
+class OneValue(Expiring):
+    """Base: one value state of one field."""
 
     kind = "v STRING"
 
-    def __init__(self, order: list[str], ttl_ms: int | None = None):
-        self.order, self.ttl_ms = order, ttl_ms
+    def __init__(self, order: list[str], keep_ms: int | None = None):
+        self.order, self.keep_ms = order, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         """Open the state."""
         self.handle = handle
-        self.state = handle.getValueState("last", self.kind, self.ttl_ms)
+        self.state = handle.getValueState("last", self.kind)
+
+    def forget(self) -> None:
+        """Clear the state."""
+        self.state.clear()
 
     def last(self):
         """The stored value or None."""
         return self.state.get()[0] if self.state.exists() else None
 
-    def close(self) -> None:
-        """Nothing to release."""
-
 
 def _first_per_day(rows: Iterator[Row], order: list[str]) -> Iterator[tuple[str, Row, bool]]:
     """Day, row, and whether it is the first of its day; firsts come last, in the order of days.
 
     Only the best row of each day is held back.
     """
-    rank = lambda r: tuple(r[c] for c in order)
+    rank = lambda r: _rank(r, order)
     best: dict[str, Row] = {}
     for r in rows:
         day = _date(r["ts_ms"])
@@ -74,10 +112,13 @@ def _first_per_day(rows: Iterator[Row], order: list[str]) -> Iterator[tuple[str,
 
 
 class FirstOfDay(OneValue):
-    """Adds ``is_first`` = 1 to the first row per key and day; with ``only`` just those rows are emitted."""
+    """Adds ``is_first`` = 1 to the first row per key and day; with ``only`` just those rows are emitted.
 
-    def __init__(self, order: list[str], only: bool = False, ttl_ms: int | None = None):
-        super().__init__(order, ttl_ms)
+    The state serves its day alone and goes ``keep_ms`` after the day's end.
+    """
+
+    def __init__(self, order: list[str], only: bool = False, keep_ms: int | None = 0):
+        super().__init__(order, keep_ms)
         self.only = only
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -91,6 +132,7 @@ class FirstOfDay(OneValue):
                 yield Row(**r.asDict(), is_first=int(first))
         if last != before:
             self.state.update((last,))
+            self.renew(_day_start(last) + DAY_MS)
 
 
 class FixIsNew(OneValue):
@@ -103,18 +145,20 @@ class FixIsNew(OneValue):
             rows = _in_order(rows, self.order)
             first = _date(rows[0]["ts_ms"] - (0 if rows[0]["is_new"] == "1" else DAY_MS))
             self.state.update((first,))
+        latest = 0
         for r in rows:
-            values = r.asDict()
+            values, latest = r.asDict(), max(latest, r["ts_ms"])
             if r["is_new"] == "1" and first != _date(r["ts_ms"]):
                 values["is_new"] = "0"
             yield Row(**values)
+        self.renew(latest)
 
 
 class LoginBack(OneValue):
     """Emits the first login per user and day with ``uu_ct`` and ``back_ct``."""
 
-    def __init__(self, order: list[str], back_days: int = 8, ttl_ms: int | None = None):
-        super().__init__(order, ttl_ms)
+    def __init__(self, order: list[str], back_days: int = 8, keep_ms: int | None = None):
+        super().__init__(order, keep_ms)
         self.back_days = back_days
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -127,6 +171,7 @@ class LoginBack(OneValue):
                 last = day
         if last != before:
             self.state.update((last,))
+            self.renew(_day_start(last) + DAY_MS)
 
 
 class DedupLatest(OneValue):
@@ -143,22 +188,28 @@ class DedupLatest(OneValue):
                 yield r
         if top != before:
             self.state.update((top,))
+            self.renew(top)
 
 
-class RetractPrevious(StatefulProcessor):
+class RetractPrevious(Expiring):
     """Emits each version of a row, and the negative of every version that a newer one replaces."""
 
-    def __init__(self, schema: StructType, order: list[str], amount: str, ttl_ms: int | None = None):
-        self.schema, self.order, self.amount, self.ttl_ms = schema, order, amount, ttl_ms
+    def __init__(self, schema: StructType, order: list[str], amount: str, keep_ms: int | None = None):
+        self.schema, self.order, self.amount, self.keep_ms = schema, order, amount, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         """Open the state."""
-        self.state = handle.getValueState("last", self.schema, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("last", self.schema)
+
+    def forget(self) -> None:
+        """Clear the state."""
+        self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Take back the stored version and every new one but the newest; only that one is held."""
         names = self.schema.fieldNames()
-        rank = lambda r: tuple(r[c] for c in self.order)
+        rank = lambda r: _rank(r, self.order)
         if self.state.exists():
             yield self._negative(dict(zip(names, self.state.get())))
         newest = None
@@ -171,12 +222,10 @@ class RetractPrevious(StatefulProcessor):
             if old is not None:
                 yield self._negative(old.asDict())
         self.state.update(tuple(newest[n] for n in names))
+        self.renew(newest["ts_ms"])
 
     def _negative(self, values: dict) -> Row:
-        return Row(**{**values, self.amount: str(-Decimal(values[self.amount]))})
-
-    def close(self) -> None:
-        """Nothing to release."""
+        return Row(**{**values, self.amount: _negated(values[self.amount])})
 
 
 class DebounceLast(StatefulProcessor):
@@ -198,7 +247,7 @@ class DebounceLast(StatefulProcessor):
             now = (timerValues.getCurrentProcessingTimeInMs() if self.processing_time
                    else timerValues.getCurrentWatermarkInMs())
             self.handle.registerTimer(now + self.delay_ms)
-        rank = lambda d: tuple(d[c] for c in self.order)
+        rank = lambda d: _rank(d, self.order)
         for r in rows:
             if last is None or rank(r) >= rank(last):
                 last = r.asDict()
@@ -215,14 +264,20 @@ class DebounceLast(StatefulProcessor):
         """Nothing to release."""
 
 
-class RunningProfile(StatefulProcessor):
+class RunningProfile(Expiring):
     """Emits per row the page views and distinct values of the user so far."""
 
-    def __init__(self, order: list[str], sets: list[str]):
-        self.order, self.sets = order, sets
+    def __init__(self, order: list[str], sets: list[str], keep_ms: int | None = None):
+        self.order, self.sets, self.keep_ms = order, sets, keep_ms
+
+    def forget(self) -> None:
+        """Clear the states."""
+        self.views.clear()
+        self.seen.clear()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         """Open the states."""
+        self.handle = handle
         self.views = handle.getValueState("views", "v BIGINT")
         self.seen = handle.getMapState("seen", "f STRING, v STRING", "n INT")
 
@@ -232,8 +287,10 @@ class RunningProfile(StatefulProcessor):
         values: dict[str, set[str]] = {s: set() for s in self.sets}
         for f, v in self.seen.keys():
             values[f].add(v)
+        latest = 0
         for r in _in_order(rows, self.order):
             views += 1
+            latest = max(latest, r["ts_ms"])
             for s in self.sets:
                 if r[s] is not None and r[s] not in values[s]:
                     values[s].add(r[s])
@@ -241,15 +298,17 @@ class RunningProfile(StatefulProcessor):
             lists = {s: ",".join(sorted(values[s])) for s in self.sets}
             yield Row(uid=r["uid"], ts_ms=r["ts_ms"], row_id=r["row_id"], pv=views, **lists)
         self.views.update((views,))
-
-    def close(self) -> None:
-        """Nothing to release."""
+        self.renew(latest)
 
 
 def keyed_rule(df: DataFrame, key: str, rule: StatefulProcessor, schema: StructType | str,
                event_time: str | None = None, time_mode: str | None = None) -> DataFrame:
-    """Apply a processor per key; with ``event_time`` the result can go on into windows."""
-    mode = time_mode or ("EventTime" if event_time else "None")
+    """Apply a processor per key; with ``event_time`` the result can go on into windows.
+
+    Rules whose state expires need a watermark on ``df``.
+    """
+    timed = event_time or getattr(rule, "keep_ms", None) is not None
+    mode = time_mode or ("EventTime" if timed else "None")
     return df.groupBy(key).transformWithState(
         statefulProcessor=rule, outputStructType=schema, outputMode="Append", timeMode=mode,
         eventTimeColumnName=event_time or "")

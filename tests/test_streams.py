@@ -57,6 +57,39 @@ def test_retract(spark, stream_of, drain):
     assert rows(got) == rows(want)
 
 
+def _held(spark, checkpoint, name="last"):
+    """Keys whose state is still held."""
+    state = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    return {r.key[0] for r in state.select("key").collect()}
+
+
+@pytest.mark.parametrize("rule", ["first", "fix", "login", "latest", "retract", "profile"])
+def test_state_is_empty_after_its_time(spark, stream_of, drain, tmp_path, rule):
+    far = T0 + 40 * pr.DAY_MS
+    data = [(i, f"u{i % 4}", "1", f"v{i % 3}", str(i), T0 + i * 60_000) for i in range(60)] + [(99, "far", "1", "v", None, far)] + [
+        (100, "far", "1", "v", "1", far + 1)]
+    timed = flows.with_watermark(stream_of(spark.createDataFrame(
+        data, "row_id INT, uid STRING, is_new STRING, os STRING, amount STRING, ts_ms BIGINT"), parts=6), "0 seconds")
+    keep, name = pr.DAY_MS, "last"
+    made = {"first": lambda: pr.keyed_rule(timed, "uid", pr.FirstOfDay(ORDER), flows._plus(timed.schema, "is_first")),
+            "fix": lambda: pr.keyed_rule(timed, "uid", pr.FixIsNew(ORDER, keep), timed.schema),
+            "login": lambda: pr.keyed_rule(timed, "uid", pr.LoginBack(ORDER, 8, keep),
+                                           flows._plus(timed.schema, "uu_ct", "back_ct")),
+            "latest": lambda: pr.keyed_rule(timed, "uid", pr.DedupLatest(ORDER, keep), timed.schema),
+            "retract": lambda: pr.keyed_rule(timed, "uid", pr.RetractPrevious(timed.schema, ORDER, "amount", keep), timed.schema),
+            "profile": lambda: pr.keyed_rule(timed, "uid", pr.RunningProfile(ORDER, ["os"], keep),
+                                             "uid STRING, ts_ms BIGINT, row_id INT, pv BIGINT, os STRING")}
+    assert drain(made[rule]()).count() > 0
+    assert _held(spark, str(tmp_path / "checkpoint"), "views" if rule == "profile" else name) == {"far"}
+
+
+def test_null_amounts_and_orders_pass(spark, stream_of, drain):
+    data = [(1, "a", "1.5", T0), (2, "a", None, T0 + 1), (None, "a", "x", T0 + 2), (4, "a", "2", T0 + 3)]
+    stream = stream_of(spark.createDataFrame(data, "row_id INT, id STRING, amount STRING, ts_ms BIGINT"), parts=2)
+    got = drain(pr.keyed_rule(stream, "id", pr.RetractPrevious(stream.schema, ["row_id", "ts_ms"], "amount"), stream.schema))
+    assert sorted(r.amount or "" for r in got.collect()) == ["", "", "", "-1.5000", "1.5", "2", "x"]
+
+
 def test_first_cart_of_day_is_kept_once(spark, stream_of, drain):
     data = [(i, f"u{i % 3}", T0 + i * 1000) for i in range(60)]
     stream = stream_of(spark.createDataFrame(data, "id INT, user_id STRING, ts_ms BIGINT"))
