@@ -23,7 +23,8 @@ COMMON_CHARS = 4  # common words are short; keeps the counts per language small
 LEAST_SHARE = 0.001  # languages of fewer documents are held against the mean of all; bounds the references to 1,001
 JUDGED_CHARS = 200
 JUDGED_WORDS = 60
-MAX_CLASS_DISTANCE = 0.25
+MAX_CLASS_DISTANCE = 0.25  # and CLASS_SLACK over the square root of the characters, for chance in short texts
+CLASS_SLACK = 1.0
 MAX_WORD_DISTANCE = 0.45
 SYMBOLS = "#*$%&|<>"
 _CLASSES = ("abcdefghijklmnopqrstuvwxyz", BLANKS, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:!?'\"()-", SYMBOLS,
@@ -175,7 +176,8 @@ def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
         "class_distance": F.when(F.col("n_chars") >= JUDGED_CHARS, distance(_shares(), F.col("ref.class_shares"))),
         "word_distance": F.when(F.col("n_words") >= JUDGED_WORDS, distance(shares, F.col("ref.word_shares")))})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    usual = (F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))
+    limit = MAX_CLASS_DISTANCE + CLASS_SLACK / F.sqrt(F.greatest("n_chars", F.lit(1)))
+    usual = (F.coalesce(F.col("class_distance") <= limit, F.lit(True))
              & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
     return (rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & usual)
             .select("doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
