@@ -50,15 +50,18 @@ _USER_ORDER = ["ts_ms", "arrival"]
 @query("sink_upsert", """
     SELECT id, name, gender, ts_ms FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, arrival DESC) AS rn FROM user_info)
-    WHERE rn = 1""", ["user_info"])
+    WHERE rn = 1 AND gender IS NOT NULL""", ["user_info"])
 def sink_upsert(spark, sf):
+    # A version without a gender is a tombstone: it deletes the key unless a newer version follows.
     path = scratch(spark, "keyed")
     users = st.record(spark, sf, "user_info")
     late = F.col("arrival") % 2 == 1
     sk.upsert(users.where(~late), path, 0, ["id"], _USER_ORDER)
     sk.upsert(users.where(late), path, 1, ["id"], _USER_ORDER)
     sk.upsert(users.where(late), path, 1, ["id"], _USER_ORDER)
-    return sk.read_upserted(spark, path, ["id"], _USER_ORDER).select("id", "name", "gender", "ts_ms")
+    target = scratch(spark, "compacted")
+    sk.compact(spark, path, target, ["id"], _USER_ORDER)
+    return sk.read_upserted(spark, target, ["id"], _USER_ORDER, F.col("gender").isNull()).select("id", "name", "gender", "ts_ms")
 
 
 # Per cell the last non-empty value after the last delete of the row.

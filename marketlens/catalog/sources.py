@@ -67,6 +67,28 @@ def src_cdc_snapshot(spark, sf):
         F.round(a["o_totalprice"].cast("double"), 2).alias("price"), "ts_ms")
 
 
+_SNAPSHOTS = """
+    old AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderdate >= DATE '1996-01-01' THEN 'O' ELSE o_orderstatus END
+              AS status FROM orders WHERE o_orderdate < DATE '1997-01-01'),
+    new AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status FROM orders WHERE o_orderdate >= DATE '1993-01-01')"""
+
+
+@query("src_cdc_changes", f"""WITH {_SNAPSHOTS}
+    SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END AS op, o.id AS before_id,
+           o.status AS before_status, n.id AS after_id, n.status AS after_status
+    FROM old o FULL JOIN new n ON o.id = n.id WHERE o.status IS DISTINCT FROM n.status OR o.id IS NULL OR n.id IS NULL""")
+def src_cdc_changes(spark, sf):
+    # A snapshot of the orders placed up to 1997, the last year's still open; then one of all orders since 1993.
+    orders = st.table(spark, sf, "orders")
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    placed, status = F.col("o_orderdate"), F.col("o_orderstatus")
+    old = orders.where(placed < day("1997-01-01")).select(
+        F.col("o_orderkey").alias("id"), F.when(placed >= day("1996-01-01"), "O").otherwise(status).alias("status"))
+    new = orders.where(placed >= day("1993-01-01")).select(F.col("o_orderkey").alias("id"), status.alias("status"))
+    changes = rd.snapshot_difference(old, new, "id", st.DB, "orders", F.lit(1704067200000))
+    return changes.select("op", *[F.col(w)[c].alias(f"{w}_{c}") for w in ("before", "after") for c in ("id", "status")])
+
+
 @query("src_dim_table", "SELECT dic_code, dic_name FROM dim_base_dic", ["dim_base_dic"])
 def src_dim_table(spark, sf):
     return rd.dim_table(st.record(spark, sf, "dim_base_dic"), "dic_code").select("dic_code", "info.dic_name")

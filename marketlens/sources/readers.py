@@ -74,8 +74,8 @@ def order_detail_table(df: DataFrame) -> DataFrame:
     return parse_json(drop_tombstones(df).select("value"), ORDER_DETAIL)
 
 
-def snapshot_as_changes(df: DataFrame, db: str, name: str, ts_ms: Column) -> DataFrame:
-    """Table rows as snapshot changes: op r, decimals as doubles, dates as epoch days."""
+def _row_map(df: DataFrame) -> Column:
+    """A table row as a map of texts: decimals as doubles, dates as epoch days."""
     def text(field) -> Column:
         c = F.col(field.name)
         kind = field.dataType.typeName()
@@ -85,12 +85,32 @@ def snapshot_as_changes(df: DataFrame, db: str, name: str, ts_ms: Column) -> Dat
             c = F.datediff(c, F.lit("1970-01-01").cast("date"))
         return c.cast("string")
 
-    entries = [x for f in df.schema.fields for x in (F.lit(f.name), text(f))]
+    return F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), text(f))])
+
+
+def _change_source(db: str, name: str) -> Column:
+    return F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(name)).alias("source")
+
+
+def snapshot_as_changes(df: DataFrame, db: str, name: str, ts_ms: Column) -> DataFrame:
+    """Table rows as snapshot changes: op r, decimals as doubles, dates as epoch days."""
     return df.select(
-        F.lit("r").alias("op"), F.lit(None).cast("map<string,string>").alias("before"),
-        F.create_map(*entries).alias("after"),
-        F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(name)).alias("source"),
-        ts_ms.cast("bigint").alias("ts_ms"))
+        F.lit("r").alias("op"), F.lit(None).cast("map<string,string>").alias("before"), _row_map(df).alias("after"),
+        _change_source(db, name), ts_ms.cast("bigint").alias("ts_ms"))
+
+
+def snapshot_difference(old: DataFrame, new: DataFrame, key: str, db: str, name: str, ts_ms: Column) -> DataFrame:
+    """What happened between two snapshots of a table: creates, updates and deletes with the row before and after.
+
+    Rows are matched by their key in one full outer join; equal rows are no change. Both have the same columns.
+    """
+    values = lambda m: F.array_sort(F.map_entries(m))
+    before = old.select(F.col(key).alias("_k"), _row_map(old).alias("before"))
+    after = new.select(F.col(key).alias("_k"), _row_map(new).alias("after"))
+    op = F.when(F.col("before").isNull(), "c").when(F.col("after").isNull(), "d").otherwise("u")
+    same = F.coalesce(F.to_json(values(F.col("before"))) == F.to_json(values(F.col("after"))), F.lit(False))
+    return before.join(after, "_k", "full").where(~same).select(
+        op.alias("op"), "before", "after", _change_source(db, name), ts_ms.cast("bigint").alias("ts_ms"))
 
 
 def dim_table(df: DataFrame, key: str, family: str = "info") -> DataFrame:
@@ -110,9 +130,20 @@ def dim_scan_limit(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.withColumn("row_key", F.col(key)).orderBy("row_key").limit(limit)
 
 
-def jdbc_query(spark: SparkSession, url: str, query: str, camel: bool = False, **options: str) -> DataFrame:
-    """Result of a database query, columns named by their labels."""
-    df = spark.read.format("jdbc").options(url=url, query=query, **options).load()
+def jdbc_query(spark: SparkSession, url: str, query: str, camel: bool = False,
+               pieces: tuple[str, int, int, int] | None = None, **options: str) -> DataFrame:
+    """Result of a database query, columns named by their labels.
+
+    ``pieces`` names a numeric column of the result, its lowest and highest value, and into how many ranges, each
+    read by its own task, to cut it; without them one task reads the whole result.
+    """
+    if pieces is None:
+        options["query"] = query
+    else:
+        column, low, high, n = pieces
+        options |= {"dbtable": f"({query}) pieces", "partitionColumn": column, "lowerBound": str(low),
+                    "upperBound": str(high), "numPartitions": str(n)}
+    df = spark.read.format("jdbc").options(url=url, **options).load()
     return snake_to_camel(df) if camel else df
 
 
