@@ -155,3 +155,32 @@ def dyn_config_state(spark, sf):
         F.lit(0).cast("bigint").alias("ts_ms"))
     routed = rt.route_dim_by_config(events, rt.config_latest(config_changes(spark, sf)))
     return routed.groupBy("source_table", "sink_table").agg(F.count("*").alias("n"))
+
+
+EAST8 = "Asia/Shanghai"
+
+
+def _east8(sql: str) -> str:
+    """The same SQL with days that start at midnight eight hours east."""
+    return sql.replace("ts_ms // 86400000", "(ts_ms + 28800000) // 86400000").replace(
+        "(ts_ms - last_day", "(ts_ms + 28800000 - last_day")
+
+
+@query("uv_daily_flag_east8", "SELECT row_id, mid, ts_ms, uv_ct, sv_ct, pv_ct, dur_sum FROM visits", ["page_log"], _east8(VISITS))
+def uv_daily_flag_east8(spark, sf):
+    return keyed.uv_daily_flag(st.record(spark, sf, "page_log"), zone=EAST8).select(
+        "row_id", "mid", "ts_ms", "uv_ct", "sv_ct", "pv_ct", "dur_sum")
+
+
+@query("uu_login_back_east8", _east8(login_sql(8)), ["page_log"])
+def uu_login_back_east8(spark, sf):
+    return keyed.uu_login_back(st.record(spark, sf, "page_log"), LOG_ORDER, EAST8)
+
+
+@query("uu_cart_east8", _east8("""
+    SELECT id, user_id, sku_id, sku_num, ts_ms FROM (
+      SELECT *, lag(ts_ms // 86400000) OVER (PARTITION BY user_id ORDER BY ts_ms, id) AS last_day FROM cart_info)
+    WHERE last_day IS DISTINCT FROM ts_ms // 86400000"""), ["cart_info"])
+def uu_cart_east8(spark, sf):
+    carts = st.record(spark, sf, "cart_info").select("id", "user_id", "sku_id", "sku_num", "ts_ms")
+    return keyed.uu_cart(carts, ["ts_ms", "id"], EAST8)

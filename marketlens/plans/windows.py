@@ -13,10 +13,10 @@ from marketlens.operators.joins import DimSpec, dim_lookup, words_of
 VISITOR_KEYS = ["vc", "ch", "ar", "is_new"]
 
 
-def cart_users(carts: DataFrame, order: list[str], seconds: int = 2) -> DataFrame:
+def cart_users(carts: DataFrame, order: list[str], seconds: int = 2, zone: str = "UTC") -> DataFrame:
     """Users with a first cart row of the day, per window."""
     return win.with_window_text(
-        win.count_window(keyed.uu_cart(carts, order), seconds, "cart_add_uu_ct"), seconds)
+        win.count_window(keyed.uu_cart(carts, order, zone), seconds, "cart_add_uu_ct"), seconds, zone)
 
 
 def visitors(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
@@ -34,17 +34,17 @@ def visitors(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "
     return win.with_window_text(sums, seconds, zone)
 
 
-def home_detail(logs: DataFrame, order: list[str], seconds: int = 10) -> DataFrame:
+def home_detail(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
     """Visitors of the day of the home page and of product pages, per window."""
-    flags = keyed.uv_home_detail(logs, order)
+    flags = keyed.uv_home_detail(logs, order, zone)
     return win.with_window_text(
-        win.sum_window(flags, seconds, [], ["home_uv_ct", "good_detail_uv_ct"]), seconds)
+        win.sum_window(flags, seconds, [], ["home_uv_ct", "good_detail_uv_ct"]), seconds, zone)
 
 
-def logins(logs: DataFrame, order: list[str], seconds: int = 10) -> DataFrame:
+def logins(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
     """Users logging in and users coming back, per window."""
-    flags = keyed.uu_login_back(logs, order)
-    return win.with_window_text(win.sum_window(flags, seconds, [], ["back_ct", "uu_ct"]), seconds)
+    flags = keyed.uu_login_back(logs, order, zone)
+    return win.with_window_text(win.sum_window(flags, seconds, [], ["back_ct", "uu_ct"]), seconds, zone)
 
 
 def search_keywords(logs: DataFrame, seconds: int = 10) -> DataFrame:

@@ -37,44 +37,45 @@ def _plus(schema: StructType, *names: str) -> StructType:
     return out
 
 
-def first_of_day(df: DataFrame, key: str, order: list[str], only: bool, delay: str = "0 seconds") -> DataFrame:
+def first_of_day(df: DataFrame, key: str, order: list[str], only: bool, delay: str = "0 seconds",
+                 zone: str = "UTC") -> DataFrame:
     """Rows with ``is_first``; event time goes along as ``rt``."""
     timed = with_watermark(df, delay)
-    return pr.keyed_rule(timed, key, pr.FirstOfDay(order, only), _plus(timed.schema, "is_first"), "rt")
+    return pr.keyed_rule(timed, key, pr.FirstOfDay(order, only, zone=zone), _plus(timed.schema, "is_first"), "rt")
 
 
-def visitors(logs: DataFrame, order: list[str], seconds: int = 10) -> DataFrame:
+def visitors(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
     """Visitor measures per version, channel, area and newness."""
-    rows = first_of_day(logs, "mid", order, only=False)
+    rows = first_of_day(logs, "mid", order, only=False, zone=zone)
     zero = F.lit(0).cast("bigint")
     return win.with_window_text(win.tumble_stream(rows, seconds, ["vc", "ch", "ar", "is_new"], [
         F.sum("is_first").alias("uv_ct"), F.sum(is_empty("last_page_id").cast("bigint")).alias("sv_ct"),
-        F.count("*").alias("pv_ct"), F.sum(F.coalesce("during_time", zero)).alias("dur_sum")]), seconds)
+        F.count("*").alias("pv_ct"), F.sum(F.coalesce("during_time", zero)).alias("dur_sum")]), seconds, zone)
 
 
-def home_detail(logs: DataFrame, order: list[str], seconds: int = 10) -> DataFrame:
+def home_detail(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
     """Visitors of the day of the home page and of product pages."""
     pages = fl.filter_home_detail(logs).withColumn("visit", F.concat_ws("|", "mid", "page_id"))
-    rows = first_of_day(pages, "visit", order, only=True)
+    rows = first_of_day(pages, "visit", order, only=True, zone=zone)
     home = (F.col("page_id") == "home").cast("bigint")
     return win.with_window_text(win.tumble_stream(rows, seconds, [], [
-        F.sum(home).alias("home_uv_ct"), F.sum(1 - home).alias("good_detail_uv_ct")]), seconds)
+        F.sum(home).alias("home_uv_ct"), F.sum(1 - home).alias("good_detail_uv_ct")]), seconds, zone)
 
 
 def logins(logs: DataFrame, order: list[str], seconds: int = 10, back_days: int = 8,
-           keep_ms: int = 400 * pr.DAY_MS) -> DataFrame:
+           keep_ms: int = 400 * pr.DAY_MS, zone: str = "UTC") -> DataFrame:
     """Users logging in and users coming back, if within ``keep_ms``."""
     timed = with_watermark(fl.filter_login_page(logs), "0 seconds")
-    rows = pr.keyed_rule(timed, "uid", pr.LoginBack(order, back_days, keep_ms), _plus(timed.schema, "uu_ct", "back_ct"), "rt")
+    rows = pr.keyed_rule(timed, "uid", pr.LoginBack(order, back_days, keep_ms, zone), _plus(timed.schema, "uu_ct", "back_ct"), "rt")
     return win.with_window_text(win.tumble_stream(rows, seconds, [], [
-        F.sum("back_ct").alias("back_ct"), F.sum("uu_ct").alias("uu_ct")]), seconds)
+        F.sum("back_ct").alias("back_ct"), F.sum("uu_ct").alias("uu_ct")]), seconds, zone)
 
 
-def cart_users(carts: DataFrame, order: list[str], seconds: int = 2) -> DataFrame:
+def cart_users(carts: DataFrame, order: list[str], seconds: int = 2, zone: str = "UTC") -> DataFrame:
     """Users with a first cart row of the day."""
-    rows = first_of_day(carts, "user_id", order, only=True)
+    rows = first_of_day(carts, "user_id", order, only=True, zone=zone)
     return win.with_window_text(
-        win.tumble_stream(rows, seconds, [], [F.count("*").alias("cart_add_uu_ct")]), seconds)
+        win.tumble_stream(rows, seconds, [], [F.count("*").alias("cart_add_uu_ct")]), seconds, zone)
 
 
 def search_keywords(logs: DataFrame, seconds: int = 10, delay: str = "3 seconds") -> DataFrame:
@@ -127,9 +128,9 @@ def read_sku_sums(spark: SparkSession, path: str, dims: dict[str, DataFrame], se
     return win.with_window_text(sku_chain(sums, dims), seconds)
 
 
-def first_cart_of_day(carts: DataFrame, delay: str = "1 day") -> DataFrame:
+def first_cart_of_day(carts: DataFrame, delay: str = "1 day", zone: str = "UTC") -> DataFrame:
     """The first cart row to arrive per user and day, by built-in de-duplication only."""
-    return with_watermark(carts, delay).withColumn("day", ts_to_date("ts_ms")).dropDuplicatesWithinWatermark(
+    return with_watermark(carts, delay).withColumn("day", ts_to_date("ts_ms", zone)).dropDuplicatesWithinWatermark(
         ["user_id", "day"])
 
 

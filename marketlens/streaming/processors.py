@@ -10,8 +10,9 @@ trigger limits of the source bound.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timezone
+from datetime import datetime
 from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,12 +21,12 @@ from pyspark.sql.types import StructType
 DAY_MS = 86_400_000
 
 
-def _date(ms: int) -> str:
-    return datetime.fromtimestamp(ms // 1000, timezone.utc).strftime("%Y-%m-%d")
+def _date(ms: int, zone: str) -> str:
+    return datetime.fromtimestamp(ms // 1000, ZoneInfo(zone)).strftime("%Y-%m-%d")
 
 
-def _day_start(date: str) -> int:
-    return int(datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=timezone.utc).timestamp() * 1000)
+def _day_start(date: str, zone: str) -> int:
+    return int(datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=ZoneInfo(zone)).timestamp() * 1000)
 
 
 def _rank(row, order: list[str]) -> tuple:
@@ -74,8 +75,8 @@ class OneValue(Expiring):
 
     kind = "v STRING"
 
-    def __init__(self, order: list[str], keep_ms: int | None = None):
-        self.order, self.keep_ms = order, keep_ms
+    def __init__(self, order: list[str], keep_ms: int | None = None, zone: str = "UTC"):
+        self.order, self.keep_ms, self.zone = order, keep_ms, zone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         """Open the state."""
@@ -91,7 +92,7 @@ class OneValue(Expiring):
         return self.state.get()[0] if self.state.exists() else None
 
 
-def _first_per_day(rows: Iterator[Row], order: list[str]) -> Iterator[tuple[str, Row, bool]]:
+def _first_per_day(rows: Iterator[Row], order: list[str], zone: str) -> Iterator[tuple[str, Row, bool]]:
     """Day, row, and whether it is the first of its day; firsts come last, in the order of days.
 
     Only the best row of each day is held back.
@@ -99,7 +100,7 @@ def _first_per_day(rows: Iterator[Row], order: list[str]) -> Iterator[tuple[str,
     rank = lambda r: _rank(r, order)
     best: dict[str, Row] = {}
     for r in rows:
-        day = _date(r["ts_ms"])
+        day = _date(r["ts_ms"], zone)
         if day not in best:
             best[day] = r
         elif rank(r) < rank(best[day]):
@@ -117,14 +118,14 @@ class FirstOfDay(OneValue):
     The state serves its day alone and goes ``keep_ms`` after the day's end.
     """
 
-    def __init__(self, order: list[str], only: bool = False, keep_ms: int | None = 0):
-        super().__init__(order, keep_ms)
+    def __init__(self, order: list[str], only: bool = False, keep_ms: int | None = 0, zone: str = "UTC"):
+        super().__init__(order, keep_ms, zone)
         self.only = only
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Compare the first row of each day with the stored day."""
         last = before = self.last()
-        for day, r, candidate in _first_per_day(rows, self.order):
+        for day, r, candidate in _first_per_day(rows, self.order, self.zone):
             first = candidate and day != last
             if candidate:
                 last = day
@@ -132,7 +133,7 @@ class FirstOfDay(OneValue):
                 yield Row(**r.asDict(), is_first=int(first))
         if last != before:
             self.state.update((last,))
-            self.renew(_day_start(last) + DAY_MS)
+            self.renew(_day_start(last, self.zone) + DAY_MS)
 
 
 class FixIsNew(OneValue):
@@ -143,12 +144,12 @@ class FixIsNew(OneValue):
         first = self.last()
         if first is None:
             rows = _in_order(rows, self.order)
-            first = _date(rows[0]["ts_ms"] - (0 if rows[0]["is_new"] == "1" else DAY_MS))
+            first = _date(rows[0]["ts_ms"] - (0 if rows[0]["is_new"] == "1" else DAY_MS), self.zone)
             self.state.update((first,))
         latest = 0
         for r in rows:
             values, latest = r.asDict(), max(latest, r["ts_ms"])
-            if r["is_new"] == "1" and first != _date(r["ts_ms"]):
+            if r["is_new"] == "1" and first != _date(r["ts_ms"], self.zone):
                 values["is_new"] = "0"
             yield Row(**values)
         self.renew(latest)
@@ -157,21 +158,21 @@ class FixIsNew(OneValue):
 class LoginBack(OneValue):
     """Emits the first login per user and day with ``uu_ct`` and ``back_ct``."""
 
-    def __init__(self, order: list[str], back_days: int = 8, keep_ms: int | None = None):
-        super().__init__(order, keep_ms)
+    def __init__(self, order: list[str], back_days: int = 8, keep_ms: int | None = None, zone: str = "UTC"):
+        super().__init__(order, keep_ms, zone)
         self.back_days = back_days
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Compare the first login of each day with the last login day."""
         last = before = self.last()
-        for day, r, candidate in _first_per_day(rows, self.order):
+        for day, r, candidate in _first_per_day(rows, self.order, self.zone):
             if candidate and day != last:
-                gap = 0 if last is None else (r["ts_ms"] - _day_start(last)) // DAY_MS
+                gap = 0 if last is None else (r["ts_ms"] - _day_start(last, self.zone)) // DAY_MS
                 yield Row(**r.asDict(), uu_ct=1, back_ct=int(gap >= self.back_days))
                 last = day
         if last != before:
             self.state.update((last,))
-            self.renew(_day_start(last) + DAY_MS)
+            self.renew(_day_start(last, self.zone) + DAY_MS)
 
 
 class DedupLatest(OneValue):
