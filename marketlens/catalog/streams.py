@@ -24,17 +24,17 @@ from marketlens.plans.windows import SKU_SUMS as SKU_COLUMNS
 from marketlens.session import scratch
 from marketlens.sources import readers as rd, standins as st
 from marketlens.sources.schemas import LOG
-from marketlens.streaming import flows, processors as pr
+from marketlens.streaming import facts as sfacts, flows, processors as pr
 
 FAR_MS = 4102444800000
 FAR_DATE = "2100-01-01"
 LOG_ORDER = ["ts_ms", "row_id"]
 
 
-def as_stream(df: DataFrame, by: str | None = "ts_ms", **last: object) -> DataFrame:
+def as_stream(df: DataFrame, by: str | None = "ts_ms", ends: DataFrame | None = None, **last: object) -> DataFrame:
     """The rows as a file stream of three micro-batches in the order of a column, or of one without such a column.
 
-    ``last`` gives the fields of a closing row far in the future, a micro-batch of its own.
+    ``last`` gives the fields of a closing row far in the future, a micro-batch of its own; ``ends`` are several such rows.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, "stream")
     parts = [df]
@@ -45,6 +45,8 @@ def as_stream(df: DataFrame, by: str | None = "ts_ms", **last: object) -> DataFr
                      df.where(f"{by} > {high}")]
     for part in parts:
         part.coalesce(1).write.mode("append").parquet(path)
+    if ends is not None:
+        ends.coalesce(1).write.mode("append").parquet(path)
     if last:
         row = [last.get(f.name, FAR_MS if f.name == "ts_ms" else None) for f in df.schema.fields]
         free = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
@@ -192,6 +194,40 @@ def state_retention(spark, sf):
     return drained(spark, rows.select("oid", "user_id", "id", "sku_id", "ts_ms"))
 
 
+def _closed(spark, changes, *tables):
+    """A change log as a stream that ends with a row of each table far in the future, so that all ranges close."""
+    none = F.lit("none")
+    ends = spark.createDataFrame([(t,) for t in tables], "t STRING").select(
+        F.lit("r").alias("op"), F.lit(None).cast("map<string,string>").alias("before"),
+        F.create_map(*[x for c in ("id", "order_id", "order_detail_id") for x in (F.lit(c), none)], F.lit("payment_status"),
+                     F.lit("1602"), F.lit("order_status"), F.lit("1001")).alias("after"),
+        F.create_map(F.lit("table"), F.col("t")).alias("source"), F.lit(FAR_MS).alias("ts_ms"))
+    return as_stream(changes.select(*ends.columns), "ts_ms", ends)
+
+
+@query("stream_join_order_detail_4way", "SELECT * FROM fact", jn.DETAIL_RECORDS, jn.DETAIL_FACT)
+def stream_join_order_detail_4way(spark, sf):
+    changes = _closed(spark, st.change_log(spark, sf, *jn.DETAIL_RECORDS), *jn.DETAIL_RECORDS)
+    return drained(spark, sfacts.order_detail_fact(changes)).where("id <> 'none'")
+
+
+def _order_details(spark, sf):
+    facts = st.record(spark, sf, "trade_order_detail")
+    return as_stream(facts, "ts_ms", None, id="none", order_id="none")
+
+
+@query("stream_join_cancel", jn.CANCEL_SQL, ["trade_order_detail", "order_info"])
+def stream_join_cancel(spark, sf):
+    changes = _closed(spark, st.change_log(spark, sf, "order_info"), "order_info")
+    return drained(spark, sfacts.cancel_fact(_order_details(spark, sf), changes, "400 DAYS")).where("id <> 'none'")
+
+
+@query("stream_join_payment", jn.PAYMENT_SQL, ["trade_order_detail", "payment_info"])
+def stream_join_payment(spark, sf):
+    changes = _closed(spark, st.change_log(spark, sf, "payment_info"), "payment_info")
+    return drained(spark, sfacts.payment_fact(_order_details(spark, sf), changes, "400 DAYS")).where("order_detail_id <> 'none'")
+
+
 @query("stream_sink_upsert", """
     SELECT id, name, gender, ts_ms FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, arrival DESC) AS rn FROM user_info)

@@ -42,7 +42,11 @@ def order_detail_fact(changes: DataFrame) -> DataFrame:
 def cancel_fact(order_details: DataFrame, changes: DataFrame, strict: bool = True) -> DataFrame:
     """Order lines of cancelled orders."""
     cancels = fl.filter_order_cancel(changes, strict).withColumnsRenamed({"id": "order_id"})
-    joined = equi_join(order_details.drop("ts_ms"), cancels, ["order_id"])
+    return cancel_columns(equi_join(order_details.drop("ts_ms"), cancels, ["order_id"]))
+
+
+def cancel_columns(joined: DataFrame) -> DataFrame:
+    """The columns of the fact from order lines joined with cancellations."""
     return joined.select(*_DETAIL, millis_to_date("create_time").alias("date_id"),
                          F.col("operate_time").alias("cancel_time"), *_SPLITS, "ts_ms")
 
@@ -50,7 +54,11 @@ def cancel_fact(order_details: DataFrame, changes: DataFrame, strict: bool = Tru
 def payment_fact(order_details: DataFrame, changes: DataFrame) -> DataFrame:
     """Order lines of paid orders."""
     paid = fl.filter_payment_success(changes).drop("user_id")
-    joined = equi_join(order_details.drop("ts_ms"), paid, ["order_id"])
+    return payment_columns(equi_join(order_details.drop("ts_ms"), paid, ["order_id"]))
+
+
+def payment_columns(joined: DataFrame) -> DataFrame:
+    """The columns of the fact from order lines joined with payments."""
     return joined.select(
         F.col("id").alias("order_detail_id"), *_DETAIL[1:], F.col("payment_type").alias("payment_type_code"),
         "callback_time", *_SPLITS[:4], F.col("split_total_amount").alias("split_payment_amount"), "ts_ms")
