@@ -20,6 +20,7 @@ _SPACED = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)*'[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?
 _BARE = re.compile(r"[^\W_]+|(?:[^\w\s]|_)*'[^\W_]+|(?:[^\w\s]|_)+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
 _RARE_BLANKS = re.compile("[\x1c-\x1f\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that byte-level pieces show as they are
 _BYTE_CHARS = dict(zip(sorted(set(range(256)) - _SHOWN), range(256, 512)))
@@ -113,9 +114,16 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
 
     line_end = mark_id.tobytes()
 
+    def newer(text: str) -> bool:
+        """Whether a character is not known here, so that the tokenizer may know it as a letter or digit."""
+        return (not text.isascii() and bool(_BEYOND_LATIN.search(text))
+                and any(unicodedata.category(c) == "Cn" for c in set(text)))
+
     def encode(text: str) -> bytes:
         if not text:
             return b""
+        if newer(text):
+            return ids(text).tobytes()
         if not spaced:
             if _SEPARATORS.search(text):
                 return ids(text).tobytes()
