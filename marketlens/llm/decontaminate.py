@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import words
+from marketlens.llm import bloom, words
 
 #: Fixed masks: 1 counts, 0 may differ.
 MASKS = ("1101011", "1011101", "1110111")
@@ -24,7 +24,6 @@ SPAN = 7
 WINDOW = 10  # words that are compared around a hit
 MIN_EQUAL_PERCENT = 80
 MIN_ITEM_WORDS = 5
-FILTER_BITS = 24
 _REGION = "doc_id long, text_hash long, at int, words array<long>, seeds array<struct<seed:long,pos:int>>"
 
 
@@ -41,11 +40,6 @@ def _seeds(hashes: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[int, np
         yield len(mask), h
 
 
-def _slots(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    shift = np.uint64(64 - FILTER_BITS)
-    return seeds >> shift, (seeds * np.uint64(0x9E3779B97F4A7C15)) >> shift
-
-
 def _all_masks(short: list[int]) -> tuple[str, ...]:
     return (*MASKS, *("1" * n for n in short))
 
@@ -98,27 +92,17 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     (items.select("item_id", "words").mapInArrow(item_seeds, "seed long, item_id long, item_pos int")
      .write.parquet(os.path.join(path, "seeds")))
     known = spark.read.parquet(os.path.join(path, "seeds"))
-    # the filter has a fixed size, and so has the list of its set bits
-    bits = np.zeros(1 << FILTER_BITS, bool)
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.unique(np.concatenate(_slots(batch.column(0).to_numpy().view(np.uint64)))).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["slot"])
-
-    for row in known.select("seed").mapInArrow(slots, "slot long").distinct().toLocalIterator():
-        bits[row[0]] = True
-    packed = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
+    packed = spark.sparkContext.broadcast(
+        bloom.build(known.select("seed"), lambda batch: batch.column(0).to_numpy().view(np.uint64)))
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(packed.value, np.uint8)).view(bool)
+        maybe = bloom.reader(packed.value)
         for batch in batches:
             for lo, _, h, first in words.blocks(batch):
                 rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 found, places = [], []
                 for size, s in _seeds(h, masks):
-                    one, two = _slots(s)
-                    hit = np.flatnonzero(table[one] & table[two])
+                    hit = np.flatnonzero(maybe(s))
                     hit = hit[rows[hit] == rows[hit + size - 1]]
                     found.append(s[hit])
                     places.append(hit)

@@ -19,11 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import words
+from marketlens.llm import bloom, words
 from marketlens.llm.components import components
 
 BUCKET_BITS = 18
-FILTER_BITS = 24
 _NULL_ID = -(1 << 63)  # stands for a null id
 _SET = ["n", "f1", "f2"]
 
@@ -89,10 +88,9 @@ def _profiles(rows: DataFrame, levels: np.ndarray, shingle: int, percent: int) -
     return rows.mapInArrow(profile, "doc long, text_hash long, n int, f1 long, f2 long, g long, prefix array<long>")
 
 
-def _filter_slots(doc: np.ndarray, text_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key = words.mix(words.mix(doc.view(np.uint64)) ^ text_hash.view(np.uint64))
-    shift = np.uint64(64 - FILTER_BITS)
-    return key >> shift, words.mix(key ^ np.uint64(0x94D049BB133111EB)) >> shift
+def _filter_keys(batch: pa.RecordBatch, doc: int, text_hash: int) -> np.ndarray:
+    one, two = (batch.column(k).to_numpy().view(np.uint64) for k in (doc, text_hash))
+    return words.mix(words.mix(one) ^ two)
 
 
 def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle: int, path: str) -> DataFrame:
@@ -101,21 +99,13 @@ def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle
     The documents are told by a Bloom filter of fixed size while the texts are read, so no text is shuffled; what
     passes by chance falls out in the join.
     """
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.unique(np.concatenate(_filter_slots(*(batch.column(k).to_numpy() for k in (0, 1))))).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["slot"])
-
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for chunk in wanted.select("doc", "text_hash").mapInArrow(slots, "slot long").distinct().toLocalIterator():
-        bits[chunk[0]] = True
-    shared = rows.sparkSession.sparkContext.broadcast((np.packbits(bits).tobytes(), levels))
+    packed = bloom.build(wanted.select("doc", "text_hash"), lambda batch: _filter_keys(batch, 0, 1))
+    shared = rows.sparkSession.sparkContext.broadcast((packed, levels))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(shared.value[0], np.uint8)).view(bool)
+        maybe = bloom.reader(shared.value[0])
         for batch in batches:
-            one, two = _filter_slots(*(batch.column(k).to_numpy() for k in (0, 2)))
-            some = batch.take(pa.array(np.flatnonzero(table[one] & table[two])))
+            some = batch.take(pa.array(np.flatnonzero(maybe(_filter_keys(batch, 0, 2)))))
             sets = [s.view(np.int64) for _, s in _sets(some, shared.value[1], shingle)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
