@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from marketlens.llm.words import mix
 
-BITS = 24
+BITS = 26
 
 
 def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

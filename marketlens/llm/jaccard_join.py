@@ -2,7 +2,7 @@
 
 Two sets with a Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` elements of each, in any order
 that is the same for all sets; the order here puts shingles first whose hash bucket is seldom used. Documents with the
-same set are one class; classes with the same prefix and size are one group, and only groups are indexed. A prefix
+same set are one class; classes with the same prefix and size are one group, and only groups are paired. A prefix
 element that several groups share first pairs each of them with one pivot; verified pairs are joined to components.
 Pairs of classes that share an element but lie in different components are then expanded and verified all, so
 no link between components is lost, while a large group of near copies costs no more than one pair per member.
@@ -76,16 +76,34 @@ def _profiles(rows: DataFrame, levels: np.ndarray, shingle: int, percent: int) -
                 n.append(len(s))
                 f1.append(int(marks.sum()))
                 f2.append(int(words.mix(marks ^ np.uint64(0x5851F42D4C957F2D)).sum()))
-                g.append(int(marks[:k].sum()))
+                g.append(int(words.mix(marks[:k].sum(keepdims=True) + np.uint64(len(s)))[0]))
                 prefixes.append(s[:k].view(np.int64))
             as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int32()), as_long(f1), as_long(f2), as_long(g),
-                 words.ragged(offsets, flat, pa.int64())], names=["doc", "text_hash", *_SET, "g", "prefix"])
+                 words.ragged(offsets, flat, pa.int64())], names=["doc", "text_hash", *_SET, "gid", "prefix"])
 
-    return rows.mapInArrow(profile, "doc long, text_hash long, n int, f1 long, f2 long, g long, prefix array<long>")
+    return rows.mapInArrow(profile, "doc long, text_hash long, n int, f1 long, f2 long, gid long, prefix array<long>")
+
+
+def _known_tokens(profiles: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Prefix elements that may be among those of ``pivots``, with their group: token, gid; the join drops the others."""
+    shared = profiles.sparkSession.sparkContext.broadcast(
+        bloom.build(pivots.select("token"), lambda batch: words.mix(batch.column(0).to_numpy().view(np.uint64))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = bloom.reader(shared.value)
+        for batch in batches:
+            prefix = batch.column(1)
+            offsets = prefix.offsets.to_numpy()
+            tokens = prefix.values.to_numpy()[offsets[0]:offsets[-1]]
+            gids = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            some = maybe(words.mix(tokens.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[some]), pa.array(gids[some])], names=["token", "gid"])
+
+    return profiles.select("gid", "prefix").mapInArrow(pick, "token long, gid long")
 
 
 def _filter_keys(batch: pa.RecordBatch, doc: int, text_hash: int) -> np.ndarray:
@@ -160,19 +178,21 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
                        F.col(text).cast("string").alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     levels = _levels(_bucket_counts(rows.select("doc", "text"), shingle))
     profiles = kept(_profiles(rows, levels, shingle, percent), "profiles")
-    classes = kept(profiles.where("n > 0").groupBy(*_SET).agg(
-        F.min(F.struct("doc", "text_hash")).alias("first"), F.first("g").alias("g"), F.first("prefix").alias("prefix"))
-        .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    groups = kept(classes.groupBy("n", "g").agg(F.min("cid").alias("gid"), F.first("prefix").alias("prefix")), "groups")
-    members = classes.select("cid", "n", "g").join(groups.select("n", "g", "gid"), ["n", "g"]).select("gid", "cid")
-    postings = groups.select(F.explode("prefix").alias("token"), "gid", "n")
-    pivots = (postings.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("pivot"), F.count("*").alias("k"))
-              .where("k > 1").select("token", F.col("pivot.gid").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
-    shared = kept(postings.join(pivots, "token"), "shared")
+    classes = kept(profiles.where("n > 0").groupBy(*_SET, "gid").agg(F.min(F.struct("doc", "text_hash")).alias("first"))
+                   .withColumn("cid", F.monotonically_increasing_id()), "classes")
+    members = classes.select("gid", "cid", "n")
+    postings = profiles.select(F.explode("prefix").alias("token"), "gid")
+    pivots = kept(postings.groupBy("token").agg(F.min("gid").alias("pivot"), F.max("gid").alias("last"))
+                  .where("pivot < last").select("token", "pivot"), "pivots")
+    shared = kept(_known_tokens(profiles, pivots).join(pivots, "token").distinct(), "shared")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    across = (shared.where((F.col("gid") != F.col("pivot")) & fits(F.col("n"), F.col("pivot_n")))
-              .select(F.col("pivot").alias("a"), F.col("gid").alias("b")))
-    within = members.where("gid != cid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
+    leaders = members.groupBy("gid").agg(F.min("cid").alias("cid"), F.min("n").alias("n"))
+    groups = shared.where("gid <> pivot").select("gid", "pivot").distinct()
+    across = (groups.join(leaders, "gid").withColumnsRenamed({"cid": "b", "n": "n_b"})
+              .join(leaders.withColumnsRenamed({"gid": "pivot", "cid": "a", "n": "n_a"}), "pivot")
+              .where(fits(F.col("n_a"), F.col("n_b"))).select("a", "b"))
+    within = (members.join(leaders.select("gid", F.col("cid").alias("a")), "gid").where("cid <> a")
+              .select("a", F.col("cid").alias("b")))
     pairs = kept(across.unionByName(within).distinct(), "pairs-1")
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
@@ -184,7 +204,9 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
     links = check(pairs, "1")
     labels = components(links)
     # every class that shares an element with another one, with its component so far
-    single = (shared.select("token", "gid", "n").join(members, "gid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    crowded = members.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select(F.col("gid").alias("token"), "gid")
+    cells = shared.select("token", "gid").unionByName(crowded)  # classes of one group share their whole prefix
+    single = (cells.join(members, "gid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
               .select("token", "cid", "n", F.coalesce("label", "cid").alias("label")))
     mixed = (single.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
              .select("token"))

@@ -116,7 +116,7 @@ def test_automaton_equals_recursion(spark, monkeypatch):
     for i in range(60):
         w = ["a"]
         while len(w) < 40:
-            w.append(rng.choice(chain[w[-1]]) if rng.random() < 0.9 else f"x{rng.randint(0, 30)}")
+            w.append(rng.choice(chain.get(w[-1], "abc")) if rng.random() < 0.9 else f"x{rng.randint(0, 30)}")
         rows.append((i, " ".join(w)))
     monkeypatch.setattr(language_model, "MODEL_WORD", 1 / 200)
     df = spark.createDataFrame(rows, "doc_id long, text string")
