@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from marketlens.llm.words import mix
 
-BITS = 26
+BITS = 25
 
 
 def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -25,9 +25,10 @@ def build(df: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray]) -> bytes:
             found = np.unique(np.concatenate(_slots(keys(batch)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(found)], names=["slot"])
 
-    bits = np.zeros(1 << BITS, bool)
-    bits[df.mapInArrow(slots, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)] = True
-    return np.packbits(bits).tobytes()
+    packed = np.zeros(1 << BITS - 3, np.uint8)
+    found = df.mapInArrow(slots, "slot int").distinct().toPandas()["slot"].to_numpy()
+    np.bitwise_or.at(packed, found >> 3, (128 >> (found & 7)).astype(np.uint8))
+    return packed.tobytes()
 
 
 def reader(packed: bytes) -> Callable[[np.ndarray], np.ndarray]:
