@@ -26,7 +26,7 @@ def build(df: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray]) -> bytes:
             yield pa.RecordBatch.from_arrays([pa.array(found)], names=["slot"])
 
     packed = np.zeros(1 << BITS - 3, np.uint8)
-    found = df.mapInArrow(slots, "slot int").distinct().toPandas()["slot"].to_numpy()
+    found = df.mapInArrow(slots, "slot int").distinct().toArrow()["slot"].to_numpy()
     np.bitwise_or.at(packed, found >> 3, (128 >> (found & 7)).astype(np.uint8))
     return packed.tobytes()
 

@@ -39,7 +39,7 @@ def _bucket_counts(rows: DataFrame, shingle: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    found = rows.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return counts
 
