@@ -112,10 +112,10 @@ def _filter_keys(batch: pa.RecordBatch, doc: int, text_hash: int) -> np.ndarray:
 
 
 def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle: int, path: str) -> DataFrame:
-    """Sets of the wanted documents (cid, doc, text_hash): cid, elements.
+    """Sets of the wanted documents (doc, text_hash): doc, text_hash, elements.
 
-    The documents are told by a Bloom filter of fixed size while the texts are read, so no text is shuffled; what
-    passes by chance falls out in the join.
+    The documents are told by a Bloom filter of fixed size while the texts are read, so neither texts nor sets are
+    shuffled; what passes by chance is not asked for later.
     """
     packed = bloom.build(wanted.select("doc", "text_hash"), lambda batch: _filter_keys(batch, 0, 1))
     shared = rows.sparkSession.sparkContext.broadcast((packed, levels))
@@ -130,13 +130,12 @@ def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), words.ragged(offsets, flat, pa.int64())],
                                              names=["doc", "text_hash", "elements"])
 
-    found = rows.mapInArrow(collect, "doc long, text_hash long, elements array<long>")
-    (found.join(wanted, ["doc", "text_hash"]).dropDuplicates(["cid"]).select("cid", "elements").write.parquet(path))
+    rows.mapInArrow(collect, "doc long, text_hash long, elements array<long>").write.parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _verified(pairs: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar enough; ``wanted`` has the document of each class."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
@@ -151,8 +150,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("elements").alias("x")), "a")
-            .join(sets.select(F.col("cid").alias("b"), F.col("elements").alias("y")), "b").select("a", "b", "x", "y"))
+    named = lambda k: wanted.select(F.col("cid").alias(k), F.col("doc").alias(f"doc_{k}"),
+                                    F.col("text_hash").alias(f"hash_{k}"))
+    stored = lambda k, c: sets.select(F.col("doc").alias(f"doc_{k}"), F.col("text_hash").alias(f"hash_{k}"),
+                                      F.col("elements").alias(c))
+    both = (pairs.join(named("a"), "a").join(named("b"), "b").join(stored("a", "x"), ["doc_a", "hash_a"])
+            .join(stored("b", "y"), ["doc_b", "hash_b"]).select("a", "b", "x", "y"))
     return both.mapInArrow(check, "a long, b long")
 
 
@@ -199,7 +202,7 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
         nodes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         wanted = kept(nodes.join(classes.select("cid", "first.*"), "cid"), f"wanted-{name}")
         sets = _wanted_sets(rows, wanted, levels, shingle, at(f"sets-{name}"))
-        return kept(_verified(pairs, sets, percent), f"links-{name}")
+        return kept(_verified(pairs, wanted, sets, percent), f"links-{name}")
 
     links = check(pairs, "1")
     labels = components(links)
