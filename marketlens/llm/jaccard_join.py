@@ -123,7 +123,9 @@ def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = bloom.reader(shared.value[0])
         for batch in batches:
-            some = batch.take(pa.array(np.flatnonzero(maybe(_filter_keys(batch, 0, 2)))))
+            keys = _filter_keys(batch, 0, 2)
+            once = np.unique(keys, return_index=True)[1]  # repeated rows of a batch have one set
+            some = batch.take(pa.array(np.sort(once[maybe(keys[once])])))
             sets = [s.view(np.int64) for _, s in _sets(some, shared.value[1], shingle)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
