@@ -212,14 +212,18 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
     crowded = members.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select(F.col("gid").alias("token"), "gid")
     cells = shared.select("token", "gid").unionByName(crowded)  # classes of one group share their whole prefix
     single = (cells.join(members, "gid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-              .select("token", "cid", "n", F.coalesce("label", "cid").alias("label")))
+              .select("token", "cid", "gid", "n", F.coalesce("label", "cid").alias("label")))
     mixed = (single.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
              .select("token"))
     open_ = kept(single.join(mixed, "token"), "open")
-    left, right = (open_.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "label")]) for k in (1, 2))
+    left, right = (open_.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "label", "gid")]) for k in (1, 2))
+    # of the prefix that ends first, all elements the sets share are in both prefixes, so there is a least number of them
+    enough = F.expr(f"({percent} * (n1 + n2) + {99 + percent}) div {100 + percent} "
+                    f"- greatest(({percent} * n1 + 99) div 100, ({percent} * n2 + 99) div 100) + 1")
     more = (left.join(right, "token").where((F.col("cid1") < F.col("cid2")) & (F.col("label1") != F.col("label2"))
                                             & fits(F.col("n1"), F.col("n2")))
-            .select(F.col("cid1").alias("a"), F.col("cid2").alias("b")).distinct())
+            .groupBy(F.col("cid1").alias("a"), F.col("cid2").alias("b"), "n1", "n2", (F.col("gid1") == F.col("gid2")).alias("same"))
+            .agg(F.countDistinct("token").alias("k")).where(F.col("same") | (F.col("k") >= enough)).select("a", "b"))
     more = kept(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"),
                 "pairs-2")
     if not more.isEmpty():
