@@ -128,6 +128,24 @@ def test_automaton_equals_recursion(spark, monkeypatch):
         assert sum(p3(t, u, w) for w in root) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("hot", [1 / 500_000, 1 / 50])
+def test_rare_words_have_their_own_ngrams(spark, monkeypatch, hot):
+    """Words and n-grams far below any share of the corpus are in the model, whether handed to all tasks or joined."""
+    monkeypatch.setattr(language_model, "COMMON_NGRAM", hot)
+    monkeypatch.setattr(language_model, "COMMON_WORD", hot)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(300)) for _ in range(100)]
+    texts += ["rare one stands here", "a rare one stands", "rare one", "b rare x", ""]
+    train = [t.split() for t in texts]
+    asked = [*texts[:3], "rare one stands here", "one rare stands", "never seen rare one never", "", None]
+    score = plain_model(train, 0.0, 0.0)[0]
+    learned = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in language_model.score(docs, learned).collect()}
+    for i, t in enumerate(asked):
+        assert got[i] == pytest.approx(score((t or "").split()), rel=1e-9), t
+
+
 def test_language_model_without_training(corpus, nothing):
     rows = language_model.score(corpus, nothing).collect()
     assert {(r["n_known"], r["train_tokens"]) for r in rows} == {(0, 0)}
