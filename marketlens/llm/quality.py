@@ -19,8 +19,8 @@ from marketlens.llm.words import BLANKS, words
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 COMMON_WORDS = 24
-COMMON_CHARS = 4  # common words are short; keeps the counts per language small
-LEAST_SHARE = 0.001  # languages of fewer documents are held against the mean of all; bounds the references to 1,001
+COMMON_CHARS = float("inf")  # common words have any length
+LEAST_DOCS = 20  # documents of languages with fewer are not judged by the histograms, whatever else is in the corpus
 JUDGED_CHARS = 200
 JUDGED_WORDS = 60
 MAX_CLASS_DISTANCE = 0.25  # and CLASS_SLACK over the square root of the characters, for chance in short texts
@@ -99,11 +99,11 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def references(measured: DataFrame) -> DataFrame:
-    """One row per language of at least ``LEAST_SHARE`` of all documents, and one (null) of all: class shares, common
-    words, and the shares of these words (and of all others) in a document's words; means over the documents.
+    """One row per language of at least ``LEAST_DOCS`` documents: class shares, common words, and the shares of these words
+    (and of all others) in a document's words; means over the documents.
 
-    ``measured`` has columns lang (not null), n_words, classes, short (the short words, lower-cased); documents without
-    words are left out.
+    ``measured`` has columns lang (not null), n_words, classes, lower (the words, lower-cased); documents without words
+    are left out.
     """
     spark = measured.sparkSession
     path = session.scratch(spark, "quality")
@@ -111,23 +111,15 @@ def references(measured: DataFrame) -> DataFrame:
     n = len(_CLASSES) + 1
     (docs.select("lang", _shares().alias("shares")).groupBy("lang")
      .agg(F.count("*").alias("n"), *[F.sum(F.get("shares", F.lit(k))).alias(f"s{k}") for k in range(n)])
-     .write.parquet(os.path.join(path, "classes")))
-    (docs.select("lang", (1 / F.col("n_words")).alias("share"), F.explode("short").alias("word"))
-     .groupBy("lang", "word").agg(F.sum("share").alias("share")).write.parquet(os.path.join(path, "common")))
-    classes, common = (spark.read.parquet(os.path.join(path, x)) for x in ("classes", "common"))
-    least = classes.agg(F.sum("n")).first()[0] or 0
-    langs = classes.where(F.col("n") >= least * LEAST_SHARE)
-    every = classes.agg(*[F.sum(c).alias(c) for c in classes.columns if c != "lang"]).select(
-        F.lit(None).cast("string").alias("lang"), "*")
-    classes = langs.unionByName(every)
-    common = (common.join(langs.select("lang"), "lang", "left_semi")
-              .unionByName(common.groupBy("word").agg(F.sum("share").alias("share"))
-                           .select(F.lit(None).cast("string").alias("lang"), "word", "share")))
+     .where(F.col("n") >= LEAST_DOCS).write.parquet(os.path.join(path, "classes")))
+    classes = spark.read.parquet(os.path.join(path, "classes"))
+    common = (docs.select("lang", (1 / F.col("n_words")).alias("share"), F.explode("lower").alias("word"))
+              .groupBy("lang", "word").agg(F.sum("share").alias("share")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "word"))
-    top = (common.withColumn("k", rank).where(F.col("k") <= COMMON_WORDS).groupBy(F.col("lang").alias("top_lang"))
+    top = (common.withColumn("k", rank).where(F.col("k") <= COMMON_WORDS).groupBy("lang")
            .agg(F.sort_array(F.collect_list(F.struct("k", "word", "share"))).alias("top")))
     shares = F.array(*[F.col(f"s{k}") / F.col("n") for k in range(n)])
-    return (classes.join(top, classes["lang"].eqNullSafe(top["top_lang"])).select(
+    return (classes.join(top, "lang").select(
         "lang", shares.alias("class_shares"), F.transform("top", lambda t: t["word"]).alias("common"),
         F.transform("top", lambda t: t["share"] / F.col("n")).alias("word_shares"))
         .withColumn("word_shares", F.expr(
@@ -135,17 +127,17 @@ def references(measured: DataFrame) -> DataFrame:
 
 
 def measure(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    """The base counts per row, with lang, n_chars, classes and short words for the histograms."""
+    """The base counts per row, with lang, n_chars, classes and lower-cased words for the histograms."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = with_classes(rows.withColumn("words", words("text")))
     n_chars = F.length("text")
-    short = F.transform(F.filter("words", lambda w: F.length(w) <= COMMON_CHARS), lambda w: F.lower(w))
     return rows.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "lang", n_chars.alias("n_chars"), F.size("words").cast("long").alias("n_words"),
         (n_chars - F.get("classes", F.lit(1))).cast("long").alias("word_chars"),
         F.get("classes", F.lit(5)).cast("long").alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"), "classes", short.alias("short"))
+        repeated_words(F.col("words")).alias("n_repeat_words"), "classes",
+        F.transform("words", lambda w: F.lower(w)).alias("lower"))
 
 
 def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -153,28 +145,26 @@ def assess(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     kept, class_distance, word_distance.
 
     Rejected are documents that fail the base rules and documents whose class or word histogram is too far from that of
-    their language. Texts of fewer than ``JUDGED_CHARS`` characters or ``JUDGED_WORDS`` words are not judged by the
-    respective histogram. Null and empty texts have no words and fail the base. A null language is one of its own.
+    their language, if it has ``LEAST_DOCS`` documents. Texts of fewer than ``JUDGED_CHARS`` characters or ``JUDGED_WORDS``
+    words are not judged by the respective histogram. Null and empty texts have no words and fail the base. A null language is one of its own.
     Repeated rows are assessed alike; other columns are left out; an empty table gives no rows.
     """
     spark = docs.sparkSession
     path = session.scratch(spark, "quality")
-    measure(docs, doc_id, text, lang).write.parquet(os.path.join(path, "measures"))
-    measured = spark.read.parquet(os.path.join(path, "measures"))
+    measured = measure(docs, doc_id, text, lang)  # twice over the texts: their words are too many to keep
     references(measured).write.parquet(os.path.join(path, "references"))
     known = spark.read.parquet(os.path.join(path, "references"))
-    every = known.where("lang is null").select(F.struct("class_shares", "common", "word_shares"))
-    own = known.where("lang is not null").select("lang", F.struct("class_shares", "common", "word_shares").alias("own"))
-    # the common words of each language are at most COMMON_WORDS, the languages at most 1,000: the broadcast is bounded
-    rows = measured.join(F.broadcast(own), "lang", "left").withColumn("ref", F.coalesce("own", every.scalar()))
-    hits = F.filter("short", lambda w: F.array_contains(F.col("ref.common"), w))
+    own = known.select("lang", F.struct("class_shares", "common", "word_shares").alias("ref"))
+    rows = measured.join(own, "lang", "left")
+    hits = F.filter("lower", lambda w: F.array_contains(F.col("ref.common"), w))
     counts = _each(hits, lambda h: F.transform(F.col("ref.common"), lambda t: (F.size(h) - F.size(F.array_remove(h, t)))
                                                / F.greatest(F.col("n_words"), F.lit(1))))
     shares = _each(counts, lambda c: F.concat(
         c, F.array(F.greatest(F.lit(0.0), F.lit(1.0) - F.aggregate(c, F.lit(0.0), lambda s, x: s + x)))))
+    judged = F.col("ref").isNotNull()
     rows = rows.withColumns({
-        "class_distance": F.when(F.col("n_chars") >= JUDGED_CHARS, distance(_shares(), F.col("ref.class_shares"))),
-        "word_distance": F.when(F.col("n_words") >= JUDGED_WORDS, distance(shares, F.col("ref.word_shares")))})
+        "class_distance": F.when(judged & (F.col("n_chars") >= JUDGED_CHARS), distance(_shares(), F.col("ref.class_shares"))),
+        "word_distance": F.when(judged & (F.col("n_words") >= JUDGED_WORDS), distance(shares, F.col("ref.word_shares")))})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     limit = MAX_CLASS_DISTANCE + CLASS_SLACK / F.sqrt(F.greatest("n_chars", F.lit(1)))
     usual = (F.coalesce(F.col("class_distance") <= limit, F.lit(True))

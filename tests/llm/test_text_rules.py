@@ -84,6 +84,26 @@ def test_quality_distances(spark):
     assert {r["doc_id"] for r in quality.keep(df).collect()} == set(range(20))
 
 
+def test_small_languages_have_their_own_reference(spark):
+    """Clean texts of a rare language stay, in whatever script, with long words only, or with few documents in it."""
+    rng = random.Random(7)
+
+    def prose(common, letters, n=90):
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
+    latin, cyrillic = "abcdefghijklmnop", "абвгдежзиклмнопр"
+    rows = [(i, prose(["the", "of", "and"], latin), "en") for i in range(3000)]
+    rows += [(10_000 + i, prose(["только", "когда", "потому"], cyrillic), "ru") for i in range(25)]
+    rows += [(20_000 + i, prose(["только", "когда", "потому"], cyrillic), "bg") for i in range(3)]
+    rows += [(30_000, "только# когда$ " * 3 + " ".join(f"#$%{i}&&##" for i in range(90)), "ru")]
+    found = {r["doc_id"]: r for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {i for i, r in found.items() if not r["kept"]} == {30_000}
+    assert found[10_000]["word_distance"] > 0 and found[20_000]["class_distance"] is None
+    again = {r["doc_id"]: r for r in quality.assess(spark.createDataFrame(rows[3000:], "doc_id long, text string, lang string")).collect()}
+    assert all(r["kept"] == found[i]["kept"] for i, r in again.items())
+    top = quality.references(quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang"))
+    assert set(top.where("lang = 'ru'").first()["common"][:3]) == {"только", "когда", "потому"}
+
+
 def test_quality_of_nothing(corpus, nothing):
     assert quality.assess(nothing).count() == 0
     assert quality.keep(nothing).columns == nothing.columns
