@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from marketlens import session
 from marketlens.llm import bloom, words
 
-#: Fixed masks: 1 counts, 0 may differ.
-MASKS = ("1101011", "1011101", "1110111")
+#: Fixed masks: 1 counts, 0 may differ. Each passage of 8 to ``WINDOW`` words with ``MIN_EQUAL_PERCENT`` equal has one of the first.
+MASKS = ("1101011", "1011101", "1110111", "1110011", "1100111", "1011011")
+#: By the words of a shorter item: it is looked for as a whole, in stretches that leave out or pass over the word that may differ.
+SHORT_MASKS = {5: ("1111", "11011", "11101", "10111"), 6: ("11111", "111101", "111011", "110111", "101111"), 7: ("111111",)}
 SPAN = 7
 WINDOW = 10  # words that are compared around a hit
 MIN_EQUAL_PERCENT = 80
@@ -27,8 +29,8 @@ MIN_ITEM_WORDS = 5
 _REGION = "doc_id long, text_hash long, at int, words array<long>, seeds array<struct<seed:long,pos:int>>"
 
 
-def _seeds(hashes: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[int, np.ndarray]]:
-    """Length and hashes of each mask at all places of a sequence of word hashes (row borders are not looked at)."""
+def _seeds(hashes: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[str, np.ndarray]]:
+    """Each mask and its hashes at all places of a sequence of word hashes (row borders are not looked at)."""
     for number, mask in enumerate(masks):
         n = len(hashes) - len(mask) + 1
         if n <= 0:
@@ -37,15 +39,21 @@ def _seeds(hashes: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[int, np
         for k, bit in enumerate(mask):
             if bit == "1":
                 h = words.mix(h ^ hashes[k:k + n]) + np.uint64(k)
-        yield len(mask), h
+        yield mask, h
 
 
 def _all_masks(short: list[int]) -> tuple[str, ...]:
-    return (*MASKS, *("1" * n for n in short))
+    return (*MASKS, *dict.fromkeys(m for n in short for m in SHORT_MASKS[n]))
+
+
+def _of_item(size: int) -> frozenset[str]:
+    """Masks that an item of that many words is looked for by."""
+    return frozenset((*(MASKS if size >= SPAN else ()), *SHORT_MASKS.get(size, ())))
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """Word hashes of the different items: item_id (the smallest of those with the same words), words."""
+    """Word hashes of the different items: item_id (the smallest of those with the same words; null if all are), words, item
+    (a key that is never null)."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, h, first in words.blocks(batch):
@@ -54,7 +62,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
                     names=["item_id", "words"])
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"))
     return (rows.mapInArrow(hashed, "item_id long, words array<long>").where(F.size("words") >= MIN_ITEM_WORDS)
-            .groupBy("words").agg(F.min("item_id").alias("item_id")))
+            .groupBy("words").agg(F.min("item_id").alias("item_id")).withColumn("item", F.xxhash64("words")))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -73,23 +81,23 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     path = session.scratch(spark, "decontaminate")
     _items(benchmark, item_id, item_text).write.parquet(os.path.join(path, "items"))
     items = spark.read.parquet(os.path.join(path, "items"))
-    short = sorted(r[0] for r in items.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect())
-    masks = _all_masks(short)  # items shorter than the masks are looked for as a whole
+    short = sorted(r[0] for r in items.where(F.size("words") <= SPAN).select(F.size("words")).distinct().collect())
+    masks = _all_masks(short)  # items of at most that many words are looked for as a whole
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seeds, owners, places = [], [], []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for size, h in _seeds(np.array(value.values).astype(np.int64).view(np.uint64), masks):
-                    if size >= SPAN or size == len(value):
+                for mask, h in _seeds(np.array(value.values).astype(np.int64).view(np.uint64), masks):
+                    if mask in _of_item(len(value)):
                         seeds.append(h)
                         owners += [key] * len(h)
                         places.append(np.arange(len(h), dtype=np.int32))
             if seeds:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds).view(np.int64)), pa.array(owners, pa.int64()),
-                                                  pa.array(np.concatenate(places))], names=["seed", "item_id", "item_pos"])
+                                                  pa.array(np.concatenate(places))], names=["seed", "item", "item_pos"])
 
-    (items.select("item_id", "words").mapInArrow(item_seeds, "seed long, item_id long, item_pos int")
+    (items.select("item", "words").mapInArrow(item_seeds, "seed long, item long, item_pos int")
      .write.parquet(os.path.join(path, "seeds")))
     known = spark.read.parquet(os.path.join(path, "seeds"))
     packed = spark.sparkContext.broadcast(
@@ -101,9 +109,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
             for lo, _, h, first in words.blocks(batch):
                 rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 found, places = [], []
-                for size, s in _seeds(h, masks):
+                for mask, s in _seeds(h, masks):
                     hit = np.flatnonzero(maybe(s))
-                    hit = hit[rows[hit] == rows[hit + size - 1]]
+                    hit = hit[rows[hit] == rows[hit + len(mask) - 1]]
                     found.append(s[hit])
                     places.append(hit)
                 if not found or not sum(map(len, places)):
@@ -132,10 +140,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     places = places.withColumn("region", F.xxhash64("doc_id", "text_hash", "at"))
     hits = places.select("region", "text_hash", "at", F.explode("seeds").alias("s")).select("region", "text_hash", "at", "s.*")
     pairs = (hits.join(known, "seed")
-             .select("region", "text_hash", "at", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+             .select("region", "text_hash", "at", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
     compared = (pairs.join(places.select("doc_id", "region", "text_hash", "at", F.col("words").alias("doc_words")),
                            ["region", "text_hash", "at"])
-                .join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
+                .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
                 .select("doc_id", "text_hash", "at", "item_id", "shift", "doc_words", "item_words"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

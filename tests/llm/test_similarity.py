@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter
 
@@ -139,6 +140,35 @@ def test_decontamination(spark, corpus, nothing):
     assert decontaminate.remove(corpus, bench).columns == corpus.columns
 
 
+def test_every_passage_is_found(spark):
+    """Each way to change as many words of a passage as the definition allows; short items; items without an id."""
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (5, 6, 7, 8, 9, 10)}
+    bench = [(n, " ".join(w)) for n, w in items.items()] + [(None, "an item that has no id and yet is sought")]
+    docs, want = [], set()
+    for n, w in items.items():
+        free = n - -(-decontaminate.MIN_EQUAL_PERCENT * n // 100)
+        for changed in itertools.combinations(range(n), free):
+            passage = ["x" if k in changed else v for k, v in enumerate(w)]
+            assert overlap(passage, w) == n - free
+            want.add((len(docs), n))
+            docs.append((len(docs), " ".join(["before", *passage, "behind"])))
+        docs.append((len(docs), " ".join(["before", *["x" if k <= free else v for k, v in enumerate(w)], "behind"])))
+    want.add((len(docs), None))
+    docs.append((len(docs), "here is an item that has no id and yet is sought"))
+    found = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
+def test_masks_leave_no_passage_out():
+    """Each way to change as many words of a passage as the definition allows leaves a seed."""
+    for n in range(decontaminate.MIN_ITEM_WORDS, decontaminate.WINDOW + 1):
+        masks = decontaminate._of_item(n)
+        for changed in itertools.combinations(range(n), n - -(-decontaminate.MIN_EQUAL_PERCENT * n // 100)):
+            assert any(all(bit == "0" or a + k not in changed for k, bit in enumerate(m))
+                       for m in masks for a in range(n - len(m) + 1)), (n, changed)
+
+
 def test_pipeline_stages(spark, corpus, nothing, tmp_path):
     bench = spark.createDataFrame([(1, "no such passage stands in any of the texts at all here")], "item_id long, text string")
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))
