@@ -31,8 +31,8 @@ def encoder(path: str, spaced: bool) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian 32-bit integers, kept for the life of the worker.
 
     ``spaced``: the tokenizer keeps white space as byte-level pieces; otherwise it drops white space, composes
-    characters (NFC) and lower-cases. Strings of special tokens are ordinary text. The memos hold ``MEMO`` entries at
-    most and start anew beyond that.
+    characters (NFC) and lower-cases. Strings of special tokens are ordinary text. The memos start anew before
+    a text once they hold more than ``MEMO`` entries, never within one, so they hold that many and those of one text at most.
     """
     if (path, spaced) not in _encoders:
         _encoders[path, spaced] = _make(path, spaced)
@@ -58,8 +58,6 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
     tails: dict[str, bytes] = {}
 
     def learn(new: set[str]) -> None:
-        if len(pieces) + len(new) > MEMO:
-            pieces.clear()
         together = []
         for p in new:
             if p.lstrip(" ").isalpha():  # one piece to the tokenizer as well: its model alone is faster
@@ -81,16 +79,10 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
         new = {p for x in found for p in x if p not in pieces}
         if new:
             learn(new)
-            lost = {p for x in found for p in x if p not in pieces}
-            if lost:
-                learn(lost)
         return [b"".join([pieces[p] for p in x]) for x in found]
 
     def keep(memo: dict[str, bytes], chunks: list[str], prefix: str) -> None:
         new = list({c for c in chunks if c not in memo})
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list(set(chunks))
         memo.update(zip(new, slow([prefix + c for c in new] if prefix else new), strict=True))
 
     def by_chunk(text: str) -> bytes:
@@ -122,6 +114,9 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
     def encode(text: str) -> bytes:
         if not text:
             return b""
+        for memo in (pieces, heads, tails):
+            if len(memo) > MEMO:
+                memo.clear()
         if newer(text):
             return ids(text).tobytes()
         if not spaced:

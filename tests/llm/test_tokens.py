@@ -32,6 +32,15 @@ def test_ids_are_those_of_the_library(path, spaced, text):
     assert np.frombuffer(tokens.encoder(path, spaced)(text), "<u4").tolist() == library(path)(text)
 
 
+@pytest.mark.parametrize(("path", "spaced"), [(WORDS, False), (BYTES, True)])
+def test_texts_of_more_pieces_than_the_memo_holds(path, spaced, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 4)
+    encode, texts = tokens._make(path, spaced), ["the end. ", "the one", "the. " + " ".join(f"w{k}, x{k}" for k in range(30)) + "\nthe end.",
+                                                 "a.b.c, the\ttab " + " ".join(map(str, range(20))), "the end.", "\nthe . the"]
+    for text in [*texts, *texts[::-1]]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library(path)(text)
+
+
 def test_special_tokens_are_text():
     text = "a <|endoftext|> b<|startoftext|>"
     for path, spaced in ((WORDS, False), (BYTES, True)):
