@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import decontaminate, jaccard_join, language_model, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter
+from marketlens.llm import (collocations, decontaminate, jaccard_join, language_model, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -158,3 +158,25 @@ def op4_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on three-word shingles."""
     linked = jaccard_join.link(table(spark, sf_dir, "documents"), shingle=3, percent=90)
     return linked.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("first_doc").alias("component_id"))
+
+
+@query("op12_phrase_collocations", r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+s AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, unnest([w[i:i + k - 1] for i in range(1, len(w) - k + 2)]) AS g FROM p, (VALUES (1), (2), (3), (4)) AS t(k)),
+f AS (SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT x.lang, x.k, x.g, x.a, t.j, y.a AS l, z.a AS r, (2000000::HUGEINT * x.a) // (y.a + z.a) AS score
+      FROM f x, (VALUES (1), (2), (3)) AS t(j), f y, f z
+      WHERE t.j < x.k AND y.lang = x.lang AND z.lang = x.lang AND y.g = x.g[1:t.j] AND z.g = x.g[t.j + 1:x.k]),
+b AS (SELECT lang, g, a, unnest(min_by({'l': l, 'r': r, 'score': score}, [score, j])) FROM c GROUP BY lang, g, a),
+o AS (SELECT lang, g[i:i + m - 1] AS g, max(a) AS f FROM (SELECT lang, k, g, a, m, unnest(range(1, k - m + 2)) AS i
+      FROM f, (VALUES (2), (3)) AS t(m) WHERE m < k) GROUP BY ALL),
+q AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g WHERE o.f IS NULL OR 100 * o.f < 80 * b.a),
+r AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC,
+             array_to_string(g, ' ')) AS rank FROM q)
+SELECT lang, rank, phrase, a, l, r.r AS r, s.n, CAST(score AS BIGINT) AS score FROM r JOIN s USING (lang) WHERE rank <= 2000""")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of each language of all documents."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
