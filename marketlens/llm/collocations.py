@@ -32,9 +32,9 @@ UNKNOWN = "und"
 TILE = 256
 DENSE = 8  # tile (i, j) is dense if (i + 1) * (j + 1) is at most this: frequent with frequent
 DENSE_LANGS = 16  # the largest languages have dense tiles (20 each, of TILE * TILE cells); others count by coordinates
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SEGMENT_BYTES = 1 << 20
-BUFFERED_PAIRS = 1 << 22
+BUFFERED_PAIRS = 1 << 20
 
 _TILES = {(i, j): k for k, (i, j) in enumerate((i, j) for i in range(DENSE) for j in range(DENSE) if (i + 1) * (j + 1) <= DENSE)}
 _TILE_OF = np.array([[_TILES.get((i, j), -1) for j in range(DENSE)] for i in range(DENSE)])
