@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import session
-from marketlens.llm import (collocations, decontaminate, jaccard_join, language_model, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter)
+from marketlens.llm import (collocations, decontaminate, jaccard_join, language_model, lexical_search, line_dedup, packing, quality, secrets, token_files, toxicity, url_filter, wrapper)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +180,30 @@ SELECT lang, rank, phrase, a, l, r.r AS r, s.n, CAST(score AS BIGINT) AS score F
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first phrases of each language of all documents."""
     return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM n, g),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+t AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), g),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_wrapper_induction")
+def op11_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return wrapper.extract(table(spark, sf_dir, "pages"))
