@@ -10,6 +10,7 @@ from marketlens.catalog.registry import query, window, window_text
 from marketlens.functions import scores as sc
 from marketlens.operators import filters as fl, keyed, windows as win
 from marketlens.operators.joins import words_of
+from marketlens.operators.segment import dictionary, segmented_words_of
 from marketlens.plans import dims, profile as pf, windows as wd
 from marketlens.sources import standins as st
 
@@ -105,6 +106,15 @@ def udtf_keyword(spark, sf):
     return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
+@query("udtf_keyword_dictionary")
+def udtf_keyword_dictionary(spark, sf):
+    """Texts that have lost their blanks, cut into the words of the benchmark texts: SQL has no best path, tests compare it with plain search."""
+    words = words_of(st.table(spark, sf, "benchmark"), "text", []).groupBy("word").agg(F.log(F.count("*")).alias("weight"))
+    texts = st.table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", r"[ \t]+", "").alias("text"))
+    cut = segmented_words_of(texts, "text", ["doc_id"], dictionary(words, weight="weight"), spaced=True)
+    return cut.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+
+
 _RUNNING = ", ".join(
     f"coalesce(array_to_string(list_sort(list(DISTINCT {s}) FILTER ({s} IS NOT NULL) OVER w), ','), '') AS {s}"
     for s in pf.PROFILE_SETS)

@@ -34,6 +34,47 @@ def job_ods(spark, sf):
                        F.coalesce(F.col("after")["o_orderkey"], F.col("after")["c_custkey"]).alias("id"), "op")
 
 
+# A database that changes while it is read: orders are updated, deleted and created at positions of its log.
+_PARTS, _STEP = 8, 1000
+_ODS_CHANGES = f"""
+ods_log AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey % {_PARTS} AS part, (o_orderkey * 7919 + n * 104729) % {3 * _PARTS * _STEP} * 64 + n
+           AS position, CASE WHEN n = 2 AND o_orderkey % 5 = 0 THEN 'd' ELSE 'u' END AS op, 'v' || CAST(n AS VARCHAR) AS status
+  FROM orders, (SELECT unnest([0, 1, 2]) AS n) WHERE o_orderkey % 3 = 0)"""
+
+
+@query("job_ods_hand_over", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS key, coalesce(l.status, o_orderstatus) AS status FROM orders
+    LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY position DESC) AS rn FROM ods_log) WHERE rn = 1) l
+    ON l.key = CAST(o_orderkey AS VARCHAR) WHERE l.op IS NULL OR l.op <> 'd'""", ctes=_ODS_CHANGES)
+def job_ods_hand_over(spark, sf):
+    orders = st.table(spark, sf, "orders")
+    cells = lambda status: F.create_map(F.lit("id"), F.col("key"), F.lit("status"), status)
+    key, part = F.col("o_orderkey").cast("string").alias("key"), (F.col("o_orderkey") % _PARTS).cast("int").alias("part")
+    n = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("n")
+    position = (F.col("o_orderkey") * 7919 + F.col("n") * 104729) % (3 * _PARTS * _STEP) * 64 + F.col("n")
+    log = orders.where("o_orderkey % 3 = 0").select("o_orderkey", key, part, n).select(
+        "key", "part", position.alias("position"), F.when((F.col("n") == 2) & (F.col("o_orderkey") % 5 == 0), "d").otherwise("u").alias("op"),
+        F.concat(F.lit("v"), F.col("n").cast("string")).alias("status"))
+    gone = F.col("op") == "d"
+    log = log.select("key", "part", "position", "op", F.when(gone, cells(F.col("status"))).alias("before"),
+                     F.when(~gone, cells(F.col("status"))).alias("after"), F.col("position").alias("ts_ms"))
+    # Range k is read at some position between its marks, while later ranges still wait.
+    at = (F.col("part") + 1) * (2 * _STEP * 64) + 500 * 64
+    marks = spark.range(_PARTS).select(F.col("id").cast("int").alias("part")).select(
+        "part", (at - 500 * 64).alias("low"), (at + 700 * 64).alias("high"))
+    state = log.where(F.col("position") <= at).groupBy("key").agg(F.max_by(F.struct("op", "after"), "position").alias("c"))
+    read = orders.select(key, part, "o_orderstatus").join(state, "key", "left").where("c IS NULL OR c.op <> 'd'").select(
+        "key", "part", F.when(F.col("c").isNull(), cells(F.col("o_orderstatus"))).otherwise(F.col("c.after")).alias("after"))
+    path = scratch(spark, "topic")
+    changes = rd.hand_over(read, marks, log)
+    sk.topic_append(changes, path, F.to_json(F.struct(*changes.columns)))
+    rows = spark.read.schema(changes.schema).json(path)
+    # The topic's reader needs no more than the order: the hand-over first, then the log.
+    last = rows.groupBy("key").agg(F.max_by(F.struct("op", "after"), F.coalesce("position", F.lit(-1))).alias("c"))
+    return last.where("c.op <> 'd'").select("key", F.col("c.after")["status"].alias("status"))
+
+
 def _route_changes(spark):
     """Config changes: the routes, one that is replaced and one that is deleted."""
     none = F.lit(None).cast("map<string,string>")
@@ -59,7 +100,7 @@ def job_dim(spark, sf):
     return rows.select("sink_table", "row_key", F.explode("cells").alias("col", "val"))
 
 
-_LOG_TOPICS = f"""
+LOG_TOPICS = f"""
     SELECT 'err' AS stream, count(*) AS n, sum(CAST(is_new AS BIGINT))::BIGINT AS new_ct FROM log
     WHERE event_type = 'error'
     UNION ALL SELECT 'start', count(*), sum(CAST(is_new AS BIGINT))::BIGINT FROM log WHERE page_id IS NULL
@@ -69,11 +110,11 @@ _LOG_TOPICS = f"""
     WHERE page_id IS NOT NULL
     UNION ALL SELECT 'page', count(*), sum(CAST(is_new AS BIGINT))::BIGINT FROM log WHERE page_id IS NOT NULL
     UNION ALL SELECT 'dirty', count(*), NULL FROM page_log WHERE k = 97"""
-_LOG_FIXED = FIXED.replace("FROM page_log", f"FROM (SELECT * FROM page_log WHERE {CLEAN})") + """,
+LOG_FIXED = FIXED.replace("FROM page_log", f"FROM (SELECT * FROM page_log WHERE {CLEAN})") + """,
 log AS (SELECT p.* EXCLUDE (is_new), f.is_new FROM page_log p JOIN fixed f ON p.row_id = f.row_id)"""
 
 
-@query("job_dwd_log", _LOG_TOPICS, ["page_log"], _LOG_FIXED)
+@query("job_dwd_log", LOG_TOPICS, ["page_log"], LOG_FIXED)
 def job_dwd_log(spark, sf):
     clean, dirty = rd.split_dirty(st.log_topic(spark, sf), LOG)
     flat = clean.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new"), "ts_ms": F.col("ts")})

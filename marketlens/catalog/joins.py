@@ -122,8 +122,8 @@ def ijoin_user(spark, sf):
 
 
 @query("ijoin_user_label", """
-    SELECT u.uid, u.name, u.age, u.ts_ms, s.height, s.unit_height, s.weight, s.unit_weight
-    FROM users u JOIN user_info_sup_msg s ON u.uid = s.uid""", ["user_info", "user_info_sup_msg"], USERS)
+    SELECT DISTINCT u.uid, u.name, u.age, u.ts_ms, s.height, s.unit_height, s.weight, s.unit_weight
+    FROM users u JOIN user_info_sup_msg s ON u.uid = s.uid AND s.ts_ms BETWEEN u.ts_ms - 3600000 AND u.ts_ms + 3600000""", ["user_info", "user_info_sup_msg"], USERS)
 def ijoin_user_label(spark, sf):
     users = fl.user_info_project(st.change_log(spark, sf, "user_info"), as_of()).select("uid", "name", "age", "ts_ms")
     return pf.user_label(users, fl.user_sup_project(st.change_log(spark, sf, "user_info_sup_msg")))
@@ -365,7 +365,7 @@ def labels(spark, sf):
     return pf.age_labels(scored_profiles(spark, sf), scored_orders(spark, sf))
 
 
-@query("ijoin_scores", "SELECT * FROM labels_", LABEL_RECORDS, LABEL_CTES)
+@query("ijoin_scores", "SELECT DISTINCT * FROM labels_", LABEL_RECORDS, LABEL_CTES)
 def ijoin_scores(spark, sf):
     return labels(spark, sf)
 

@@ -157,6 +157,37 @@ def dyn_config_state(spark, sf):
     return routed.groupBy("source_table", "sink_table").agg(F.count("*").alias("n"))
 
 
+# Records of the tables that the config names come at times all over those of its changes.
+CONFIG_RECORDS = """
+versions AS (
+  SELECT source_table, sink_table, sink_columns, op, ts_ms FROM (
+    SELECT *, row_number() OVER (PARTITION BY source_table, ts_ms ORDER BY op DESC, sink_table DESC, sink_columns DESC) AS rn
+    FROM route_config) WHERE rn = 1)"""
+AS_OF_SQL = """
+    SELECT c.sink_table, c.sink_columns, r.id, r.ts_ms FROM config_record r ASOF JOIN versions c
+    ON r.source_table = c.source_table AND r.ts_ms >= c.ts_ms WHERE c.op <> 'd'"""
+
+
+def config_records(spark, sf):
+    """Change records of configured tables; the payload has every column that some version names."""
+    cells = F.create_map(*[x for c in ("id", "name", *[f"c{i}" for i in range(5)]) for x in (F.lit(c), F.col("id"))])
+    return st.record(spark, sf, "config_record").select(
+        F.lit("c").alias("op"), F.lit(None).cast("map<string,string>").alias("before"), cells.alias("after"),
+        F.create_map(F.lit("table"), F.col("source_table")).alias("source"), "ts_ms")
+
+
+def routed_as_of(routed):
+    """The columns the as-of queries show: what a version says is seen by the columns it lets through."""
+    names = F.array_join(F.array_sort(F.map_keys("data")), ",")
+    wanted = F.concat(F.lit("id,name,"), F.regexp_extract(names, "c[0-9]", 0))
+    return routed.select("sink_table", wanted.alias("sink_columns"), F.col("row_key").alias("id"), "ts_ms")
+
+
+@query("route_dim_as_of", AS_OF_SQL, ["route_config", "config_record"], CONFIG_RECORDS)
+def route_dim_as_of(spark, sf):
+    return routed_as_of(rt.route_dim_as_of(config_records(spark, sf), rt.config_versions(config_changes(spark, sf))))
+
+
 EAST8 = "Asia/Shanghai"
 
 

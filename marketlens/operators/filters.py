@@ -66,26 +66,25 @@ def filter_payment_success(changes: DataFrame) -> DataFrame:
                             where=_after("payment_status") == PAID)
 
 
-def filter_refund_request(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Refund requests, and the orders in refund."""
+def filter_refund_request(changes: DataFrame, times: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Refund requests, and the orders in refund, these with their times if wanted."""
     refunds = cdc_select_table(changes, "order_refund_info", [
         "id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
         "refund_reason_type", "refund_reason_txt", "create_time"])
-    orders = cdc_select_table(changes, "order_info", ["id", "province_id"],
-                              where=_after("order_status") == REFUNDING).drop("ts_ms")
-    return refunds, orders
+    orders = cdc_select_table(changes, "order_info", ["id", "province_id"], where=_after("order_status") == REFUNDING)
+    return refunds, orders if times else orders.drop("ts_ms")
 
 
-def filter_refund_paid(changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Paid refunds, settled refund requests, and the orders in refund."""
+def filter_refund_paid(changes: DataFrame, times: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Paid refunds, settled refund requests, and the orders in refund, the latter two with their times if wanted."""
     paid = cdc_select_table(changes, "refund_payment", [
         "id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"],
         where=_after("refund_status") == PAID)
     settled = cdc_select_table(changes, "order_refund_info", ["order_id", "sku_id", "refund_num"],
-                               where=_after("refund_status") == REFUND_SETTLED).drop("ts_ms")
+                               where=_after("refund_status") == REFUND_SETTLED)
     orders = cdc_select_table(changes, "order_info", ["id", "user_id", "province_id"],
-                              where=_after("order_status") == REFUNDING).drop("ts_ms")
-    return paid, settled, orders
+                              where=_after("order_status") == REFUNDING)
+    return (paid, settled, orders) if times else (paid, settled.drop("ts_ms"), orders.drop("ts_ms"))
 
 
 def order_detail_rows(changes: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 
@@ -80,6 +80,49 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str
             .where((rts >= lts - before_ms) & (rts <= lts + after_ms)).drop("_piece"))
 
 
+def near_values(left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, within_ms: int,
+                values: list[str]) -> DataFrame:
+    """Left rows with each different combination of ``values`` that some right row of equal keys has within ``within_ms``.
+
+    An existence join: no pairs are made. Time is cut into pieces as long as the range, and the right rows of a piece with the same keys
+    and values are summed up by their first and last time. Of the piece of the left time every row is near; of the one before it some row is
+    near if its last is, of the one after it if its first is. So a left row meets at most three summaries of each combination,
+    however many rows a key has. Repeated results are dropped, whether by copies on the left or by several summaries.
+    """
+    width = F.lit(max(within_ms, 1)).cast("bigint")
+    piece = lambda ms: F.floor(ms / width).cast("bigint")
+    lts, rts = F.col(left_ts), F.col(right_ts)
+    spans = right.groupBy(*on, piece(rts).alias("_piece"), *values).agg(F.min(rts).alias("_first"), F.max(rts).alias("_last"))
+    near = left.dropDuplicates().withColumn("_piece", F.explode(F.sequence(piece(lts) - 1, piece(lts) + 1)))
+    found = equi_join(near, spans, [*on, "_piece"]).where(
+        (F.col("_last") >= lts - within_ms) & (F.col("_first") <= lts + within_ms))
+    return found.select(*left.columns, *values).dropDuplicates()
+
+
+def as_of_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, name: str,
+               piece_ms: int = 86_400_000) -> DataFrame:
+    """Left rows with the newest right row of equal keys that is not newer, as struct ``name``; null where there is none.
+
+    Rows of the same time are settled by their other columns, which must be sortable. Time is cut into pieces: a piece of a key holds the
+    right rows in it and the last one before it, so that a left row looks at those only, and a hot key is spread over time.
+    """
+    width = F.lit(piece_ms).cast("bigint")
+    piece = lambda ms: F.floor(ms / width).cast("bigint")
+    rest = [c for c in right.columns if c not in (*on, right_ts)]
+    row = F.struct(F.col(right_ts).alias("_at"), *rest)
+    inside = right.groupBy(*on, piece(F.col(right_ts)).alias("_piece")).agg(F.collect_set(row).alias("_rows"), F.max(row).alias("_last"))
+    asked = left.select(*on, piece(F.col(left_ts)).alias("_piece")).distinct()
+    pieces = inside.unionByName(asked, allowMissingColumns=True).groupBy(*on, "_piece").agg(
+        F.first("_rows", ignorenulls=True).alias("_rows"), F.max("_last").alias("_last"))
+    before = Window.partitionBy(*on).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    known = pieces.select(*on, "_piece", "_rows", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    found = equi_join(left.withColumn("_piece", piece(F.col(left_ts))), known, [*on, "_piece"], "left")
+    here = F.array_max(F.filter("_rows", lambda r: r["_at"] <= F.col(left_ts)))
+    best = F.coalesce(here, F.col("_before"))
+    value = F.when(best.isNotNull(), F.struct(best["_at"].alias(right_ts), *[best[c].alias(c) for c in rest]))
+    return found.select(*left.columns, value.alias(name))
+
+
 def stream_interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str,
                          right_ts: str, before: str, after: str, delay: str = "5 seconds") -> DataFrame:
     """The same for two streams whose time columns are timestamps; all column names must differ."""

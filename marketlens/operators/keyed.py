@@ -2,8 +2,8 @@
 
 None of them sorts all rows of a key in one task. First and last rows are found by aggregates that combine
 before the shuffle; a flag goes back to its row by the unique ``row_id`` (topic offset, event id or file
-position), which spreads evenly; running values are built from short time pieces of a key. Keys must not be
-null, as in any keyed stream.
+position), which spreads evenly; running values are built from short time pieces of a key, put together in groups and
+groups of groups. Keys must not be null, as in any keyed stream.
 """
 
 from __future__ import annotations
@@ -51,14 +51,19 @@ def mark_rows(df: DataFrame, ids: DataFrame, row_id: str, flag: str) -> DataFram
     return marked.withColumn(flag, F.coalesce(flag, F.lit(0).cast("bigint")))
 
 
-def fix_is_new(logs: DataFrame, order: list[str], zone: str = "UTC") -> DataFrame:
-    """Correct the new-visitor mark: a device is new only on the day of its first log.
+def first_dates(logs: DataFrame, order: list[str], zone: str = "UTC") -> DataFrame:
+    """First day of each device as ``first_date``, and the time of its last log as ``ts_ms``.
 
     A first log that is not marked new puts the first day before it.
     """
-    first = logs.groupBy("mid").agg(F.min_by(F.struct("is_new", "ts_ms"), F.struct(*order)).alias("_f"))
+    first = logs.groupBy("mid").agg(F.min_by(F.struct("is_new", "ts_ms"), F.struct(*order)).alias("_f"), F.max("ts_ms").alias("ts_ms"))
     seen = F.col("_f.ts_ms") - F.when(F.col("_f.is_new") == "1", 0).otherwise(DAY_MS)
-    first = first.select("mid", ts_to_date(seen, zone).alias("_first_date"))
+    return first.select("mid", ts_to_date(seen, zone).alias("first_date"), "ts_ms")
+
+
+def fix_is_new(logs: DataFrame, order: list[str], zone: str = "UTC") -> DataFrame:
+    """Correct the new-visitor mark: a device is new only on the day of its first log (see :func:`first_dates`)."""
+    first = first_dates(logs, order, zone).select("mid", F.col("first_date").alias("_first_date"))
     old = (F.col("is_new") == "1") & (ts_to_date("ts_ms", zone) != F.col("_first_date"))
     return (equi_join(logs, first, ["mid"], "left")
             .withColumn("is_new", F.when(old, F.lit("0")).otherwise(F.col("is_new")))
@@ -119,36 +124,77 @@ def debounce_last(facts: DataFrame, key: str, order: list[str]) -> DataFrame:
     return last_rows(facts, [key], order)
 
 
+#: Pieces put together per step of a prefix: no window holds more rows of a key than that.
+PREFIX_WIDTH = 256
+_HORIZON_MS = 1 << 40
+
+
 def _pieces(ts: str, piece_ms: int) -> Column:
     return F.col(ts) - F.pmod(F.col(ts), F.lit(piece_ms).cast("bigint"))
 
 
-def _piece_state(df: DataFrame, key: str, ts: str, sets: list[str], upto: int) -> DataFrame:
-    """Rows seen and values seen per key and piece, over all pieces up to ``upto`` (0 this one, -1 the one before).
-
-    One pass over the rows sums up each piece; the rest works on one row per key and piece, or per key, piece
-    and value. Each value counts in the piece it first appears in, so the running lists hold it once.
-    """
+def first_seen(df: DataFrame, key: str, ts: str, sets: list[str]) -> DataFrame:
+    """Per key and ``_piece``: rows ``_n``, last time ``_ts``, and per set the values that appear there for the first time."""
     pieces = df.groupBy(key, "_piece").agg(
         F.count("*").alias("_n"), F.max(ts).alias("_ts"), *[F.collect_set(s).alias(s) for s in sets])
     tagged = lambda s: F.transform(s, lambda v: F.struct(F.lit(s).alias("f"), v.alias("v")))
-    mark = F.array(F.struct(F.lit("").alias("f"), F.col("_piece").cast("string").alias("v")))
-    values = pieces.select(key, "_piece", "_n", "_ts", F.explode(F.concat(mark, *[tagged(s) for s in sets])).alias("_p"))
-    since = F.min("_piece").over(Window.partitionBy(key, "_p"))
-    fresh = values.withColumn("_since", since).where("_since = _piece").groupBy(key, "_piece").agg(
+    values = pieces.select(key, "_piece", F.explode(F.concat(*[tagged(s) for s in sets])).alias("_p"))
+    since = values.groupBy(key, "_p").agg(F.min("_piece").alias("_piece"))
+    both = pieces.select(key, "_piece", "_n", "_ts").unionByName(since, allowMissingColumns=True)
+    return both.groupBy(key, "_piece").agg(
         F.max("_n").alias("_n"), F.max("_ts").alias("_ts"),
         *[F.collect_list(F.when(F.col("_p.f") == s, F.col("_p.v"))).alias(s) for s in sets])
-    over = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, upto)
-    seen = lambda s: F.flatten(F.collect_list(F.when(F.size(s) > 0, F.col(s))).over(over))
-    return fresh.select(key, "_piece", "_ts", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_seen_n"),
-                        *[seen(s).alias(f"_seen_{s}") for s in sets])
 
 
-def running_profile(df: DataFrame, key: str, ts: str, row_id: str, sets: list[str],
-                    piece_ms: int = 120_000) -> DataFrame:
-    """Per row: page views of the user so far and the distinct values seen so far, as comma lists."""
+def prefix_levels(leaves: DataFrame, key: str, sets: list[str], piece_ms: int, width: int = PREFIX_WIDTH) -> list[DataFrame]:
+    """Sums of the pieces of a key (``_n``, values first seen), over groups of ``width`` of them, groups of groups, and so on.
+
+    Each row names its ``_node`` and the ``_parent`` that holds up to ``width`` nodes; a value stands in one node per level.
+    The last level is so coarse that a key has at most about ``width`` nodes on it in thirty years.
+    """
+    above = (F.col("_node") / width).cast("double")
+    with_parent = lambda df: df.withColumn("_parent", F.floor(above))
+    levels, span = [with_parent(leaves.withColumn("_node", F.floor(F.col("_piece") / piece_ms)))], piece_ms
+    while span * width < _HORIZON_MS:
+        span *= width
+        levels.append(with_parent(levels[-1].groupBy(key, F.col("_parent").alias("_node")).agg(
+            F.sum("_n").alias("_n"), *[F.flatten(F.collect_list(s)).alias(s) for s in sets])))
+    return levels
+
+
+def prefix_state(leaves: DataFrame, key: str, sets: list[str], piece_ms: int, width: int = PREFIX_WIDTH) -> DataFrame:
+    """The pieces with what their key had before them: ``_seen_n`` rows and the values ``_seen_<set>``.
+
+    What comes before a piece is what comes before its group plus the pieces before it in the group, and so on upwards. Each
+    window below holds the at most ``width`` nodes of one group, and each join the pieces of one group, however many
+    pieces a key has; a list is put together once for each row of the result.
+    """
+    none = F.array().cast("array<string>")
+    before = None
+    for level, rows in reversed(list(enumerate(prefix_levels(leaves, key, sets, piece_ms, width)))):
+        group = [key] if before is None else [key, "_parent"]
+        over = Window.partitionBy(*group).orderBy("_node").rowsBetween(Window.unboundedPreceding, -1)
+        own = ["_piece", "_n", "_ts", *sets] if level == 0 else []
+        here = rows.select(key, "_node", "_parent", *own, F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_seen_n"), *[
+            F.flatten(F.collect_list(F.when(F.size(s) > 0, F.col(s))).over(over)).alias(f"_seen_{s}") for s in sets])
+        if before is not None:
+            up = before.select(key, F.col("_node").alias("_parent"), F.col("_seen_n").alias("_up_n"),
+                               *[F.col(f"_seen_{s}").alias(f"_up_{s}") for s in sets])
+            here = here.join(up, [key, "_parent"]).select(
+                key, "_node", "_parent", *own, (F.col("_up_n") + F.col("_seen_n")).alias("_seen_n"),
+                *[F.concat(F.coalesce(f"_up_{s}", none), F.coalesce(f"_seen_{s}", none)).alias(f"_seen_{s}") for s in sets])
+        before = here
+    return before.drop("_node", "_parent")
+
+
+def running_profile(df: DataFrame, key: str, ts: str, row_id: str, sets: list[str], piece_ms: int = 1000,
+                    width: int = PREFIX_WIDTH) -> DataFrame:
+    """Per row: page views of the user so far and the distinct values seen so far, as comma lists.
+
+    The rows of a piece of a key meet in one window; what came before them is carried as :func:`prefix_state`.
+    """
     rows = df.select(key, ts, row_id, *sets, _pieces(ts, piece_ms).alias("_piece"))
-    state = _piece_state(rows, key, ts, sets, -1)
+    state = prefix_state(first_seen(rows, key, ts, sets), key, sets, piece_ms, width).drop("_n", "_ts", *sets)
     here = Window.partitionBy(key, "_piece").orderBy(ts, row_id)
     grown = lambda s: F.array_union(
         F.coalesce(f"_seen_{s}", F.array().cast("array<string>")),
@@ -158,9 +204,12 @@ def running_profile(df: DataFrame, key: str, ts: str, row_id: str, sets: list[st
         *[F.array_join(F.array_sort(grown(s)), ",").alias(s) for s in sets])
 
 
-def window_profile(df: DataFrame, key: str, ts: str, sets: list[str], window_ms: int = 120_000) -> DataFrame:
+def window_profile(df: DataFrame, key: str, ts: str, sets: list[str], window_ms: int = 120_000,
+                   width: int = PREFIX_WIDTH) -> DataFrame:
     """The running profile as it stands at the end of each window in which the user was active."""
     rows = df.select(key, ts, *sets, _pieces(ts, window_ms).alias("_piece"))
-    return _piece_state(rows, key, ts, sets, 0).select(
-        key, F.col("_piece").alias("window_ms"), F.col("_ts").alias(ts), F.col("_seen_n").alias("pv"),
-        *[F.array_join(F.array_sort(f"_seen_{s}"), ",").alias(s) for s in sets])
+    state = prefix_state(first_seen(rows, key, ts, sets), key, sets, window_ms, width)
+    return state.select(
+        key, F.col("_piece").alias("window_ms"), F.col("_ts").alias(ts), (F.col("_seen_n") + F.col("_n")).alias("pv"),
+        *[F.array_join(F.array_sort(F.concat(F.coalesce(f"_seen_{s}", F.array().cast("array<string>")), s)), ",").alias(s)
+          for s in sets])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.functions.scalars import is_empty, keep_keys, md5_key
-from marketlens.operators.joins import equi_join
+from marketlens.operators.joins import as_of_join, equi_join
 
 ROUTE_FIELDS = ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
 DELETED = "__deleted"
@@ -98,6 +98,26 @@ def route_dim_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
         "op", "ts_ms", keep_keys("payload", "sink_columns").alias("data"))
 
 
+def config_versions(changes: DataFrame, preload: DataFrame | None = None) -> DataFrame:
+    """All versions of the config, each from its ``ts_ms`` on. Preloaded routes hold from the first, so every change wins over them."""
+    versions = config_rows(changes)
+    if preload is None:
+        return versions
+    start = preload.select(*ROUTE_FIELDS, F.lit("r").alias("op"), F.lit(-(1 << 62)).cast("bigint").alias("ts_ms"))
+    return versions.unionByName(start)
+
+
+def route_dim_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """Changes routed by the config that was in force at their time; a deleted route routes nothing until it comes back."""
+    rows = changes.select(
+        F.col("source")["table"].alias("source_table"), "op", "ts_ms",
+        F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")).alias("payload"))
+    routed = as_of_join(rows, versions.withColumnsRenamed({"ts_ms": "since", "op": "config_op"}), ["source_table"], "ts_ms", "since", "r")
+    return routed.where("r IS NOT NULL AND r.config_op <> 'd' AND payload IS NOT NULL").select(
+        "source_table", "r.sink_table", "r.sink_family", F.element_at("payload", F.col("r.sink_row_key")).alias("row_key"),
+        "op", "ts_ms", keep_keys("payload", "r.sink_columns").alias("data"))
+
+
 def route_fact_by_config(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Older change records (``table, type, ts, data``) by table and type, ``ts`` added to the payload."""
     rows = changes.select(F.col("table").alias("source_table"), F.col("type").alias("source_type"), "ts", "data")

@@ -67,7 +67,11 @@ def payment_columns(joined: DataFrame) -> DataFrame:
 def refund_fact(changes: DataFrame) -> DataFrame:
     """Refund requests of orders in refund."""
     refunds, orders = fl.filter_refund_request(changes)
-    joined = equi_join(refunds, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
+    return refund_columns(equi_join(refunds, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"]))
+
+
+def refund_columns(joined: DataFrame) -> DataFrame:
+    """The columns of the fact from refund requests joined with orders."""
     return joined.select(
         "id", "user_id", "order_id", "sku_id", "province_id", millis_to_date("create_time").alias("date_id"),
         "create_time", F.col("refund_type").alias("refund_type_code"),
@@ -79,7 +83,11 @@ def refund_paid_fact(changes: DataFrame) -> DataFrame:
     """Paid refunds with their request and order."""
     paid, settled, orders = fl.filter_refund_paid(changes)
     joined = equi_join(paid, settled, ["order_id", "sku_id"])
-    joined = equi_join(joined, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"])
+    return refund_paid_columns(equi_join(joined, orders.withColumnsRenamed({"id": "order_id"}), ["order_id"]))
+
+
+def refund_paid_columns(joined: DataFrame) -> DataFrame:
+    """The columns of the fact from paid refunds joined with requests and orders."""
     return joined.select(
         "id", "user_id", "order_id", "sku_id", "province_id", F.col("payment_type").alias("payment_type_code"),
         millis_to_date("callback_time").alias("date_id"), "callback_time", "refund_num",

@@ -8,7 +8,7 @@ from marketlens.functions import scores as sc
 from marketlens.functions.clock import datetime_to_ts
 from marketlens.operators import filters as fl
 from marketlens.operators.dedupe import dedup_full_row, dedup_latest_detail
-from marketlens.operators.joins import equi_join, first_match, interval_join, prefixed
+from marketlens.operators.joins import equi_join, first_match, interval_join, near_values, prefixed
 from marketlens.operators.keyed import window_profile
 
 MINUTE, HOUR = 60_000, 3_600_000
@@ -25,9 +25,10 @@ def user_profile(changes: DataFrame, as_of: Column, minutes: int = 60) -> DataFr
         F.coalesce("gender", F.lit("null")).alias("gender"), *MEASURES)
 
 
-def user_label(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left rows with the body measures of the same user."""
-    return equi_join(left, right.select("uid", *MEASURES), ["uid"]).select(*left.columns, *MEASURES)
+def user_label(left: DataFrame, right: DataFrame, minutes: int = 60) -> DataFrame:
+    """Left rows with the different body measures that the same user had within ``minutes`` of them."""
+    measures = right.select("uid", F.col("ts_ms").alias("sup_ts"), *MEASURES)
+    return near_values(left, measures, ["uid"], "ts_ms", "sup_ts", minutes * MINUTE, MEASURES)
 
 
 def comment_order(comments: DataFrame, orders: DataFrame, on: str, comment_ts: str, order_ts: str,
@@ -122,17 +123,19 @@ ORDER_SCORES = [f"{s}_{b}" for s in ("pay_time", "amount", "tname", "b1name") fo
 
 
 def age_labels(pages: DataFrame, orders: DataFrame, hours: int = 24) -> DataFrame:
-    """Age bracket of a user from a scored page profile and a scored order line within ``hours`` of it."""
+    """Age brackets of a user at the time of a scored page profile, each by some scored order line within ``hours`` of it.
+
+    Score combinations of order lines are few (they come from short tables), so a profile meets each of them once instead of every line.
+    """
+    scores = [c for c in pages.columns if c.startswith(("device_", "search_")) and c[7:] in sc.BRACKETS]
+    left = pages.select("uid", "ts_ms", *scores)
     right = orders.select(F.col("user_id").alias("uid"), F.col("ts_ms").alias("order_ts"), *ORDER_SCORES)
-    joined = interval_join(pages, right, ["uid"], "ts_ms", "order_ts", hours * HOUR, hours * HOUR)
-    return joined.select("uid", "ts_ms", sc.age_level(joined.columns).alias("ageLevel"))
+    joined = near_values(left, right, ["uid"], "ts_ms", "order_ts", hours * HOUR, ORDER_SCORES)
+    return joined.select("uid", "ts_ms", sc.age_level(joined.columns).alias("ageLevel")).dropDuplicates()
 
 
 def merged_profile(labels: DataFrame, users: DataFrame, hours: int = 80) -> DataFrame:
-    """Age bracket merged with the user row within ``hours``; user fields win, repeats are dropped.
-
-    Repeats among the labels and the users go first, so they are not joined with each other.
-    """
-    left = dedup_full_row(labels).withColumnsRenamed({"ts_ms": "label_ts"})
-    joined = interval_join(left, dedup_full_row(users), ["uid"], "label_ts", "ts_ms", hours * HOUR, hours * HOUR)
-    return dedup_full_row(joined.select("uid", "ageLevel", *[c for c in users.columns if c != "uid"]))
+    """The user row with each age bracket that the user has within ``hours`` of it; user fields win, repeats are dropped."""
+    brackets = labels.select("uid", F.col("ts_ms").alias("label_ts"), "ageLevel")
+    joined = near_values(users, brackets, ["uid"], "ts_ms", "label_ts", hours * HOUR, ["ageLevel"])
+    return joined.select("uid", "ageLevel", *[c for c in users.columns if c != "uid"])

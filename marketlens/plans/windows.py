@@ -9,6 +9,7 @@ from marketlens.functions.scalars import is_empty
 from marketlens.operators import keyed, windows as win
 from marketlens.operators.filters import filter_search_keyword
 from marketlens.operators.joins import DimSpec, dim_lookup, words_of
+from marketlens.operators.segment import segmented_words_of
 
 VISITOR_KEYS = ["vc", "ch", "ar", "is_new"]
 
@@ -47,9 +48,17 @@ def logins(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UT
     return win.with_window_text(win.sum_window(flags, seconds, [], ["back_ct", "uu_ct"]), seconds, zone)
 
 
-def search_keywords(logs: DataFrame, seconds: int = 10) -> DataFrame:
+def searched_words(logs: DataFrame, dictionary: dict[str, float] | None = None) -> DataFrame:
+    """One row per searched word, ``keyword`` and time; with a dictionary, texts without blanks are cut into its words."""
+    texts = filter_search_keyword(logs)
+    words = (words_of(texts, "fullword", ["ts_ms"]) if dictionary is None
+             else segmented_words_of(texts, "fullword", ["ts_ms"], dictionary))
+    return words.withColumnsRenamed({"word": "keyword"})
+
+
+def search_keywords(logs: DataFrame, seconds: int = 10, dictionary: dict[str, float] | None = None) -> DataFrame:
     """Searched words per window."""
-    words = words_of(filter_search_keyword(logs), "fullword", ["ts_ms"]).withColumnsRenamed({"word": "keyword"})
+    words = searched_words(logs, dictionary)
     return win.with_window_text(win.count_window(words, seconds, "keyword_count", ["keyword"]), seconds)
 
 

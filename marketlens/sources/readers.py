@@ -113,6 +113,27 @@ def snapshot_difference(old: DataFrame, new: DataFrame, key: str, db: str, name:
         op.alias("op"), "before", "after", _change_source(db, name), ts_ms.cast("bigint").alias("ts_ms"))
 
 
+def hand_over(snapshot: DataFrame, marks: DataFrame, log: DataFrame) -> DataFrame:
+    """A table read range by range while it changed, and its change log, as one change stream without gap or repetition.
+
+    ``snapshot``: key, part, after (the row as text map), with the number of the key range it was read in; ``marks``: part, low, high, the position of
+    the log before and after the range was read; ``log``: position, key, part (of its key), op, before, after, ts_ms. A change up
+    to ``low`` is in the snapshot. Of the changes of a key up to ``high`` the last one stands for what was read, which may
+    have been before or after it. Later ones follow as they are. So every key has at most one version (op r) at the hand-over, and
+    further changes after it. Columns: key, op, before, after, ts_ms (null for rows as read), position (null at the hand-over).
+    """
+    placed = log.join(marks, "part").where("position > low")
+    change = F.struct("position", "op", "after", "ts_ms")
+    during = placed.where("position <= high").groupBy("key").agg(F.max_by(change, "position").alias("c"))
+    rows = snapshot.select("key", F.col("after").alias("read")).join(during, "key", "full")
+    start = rows.where("c IS NULL OR c.op <> 'd'").select(
+        "key", F.lit("r").alias("op"), F.lit(None).cast("map<string,string>").alias("before"),
+        F.when(F.col("c").isNull(), F.col("read")).otherwise(F.col("c.after")).alias("after"), "c.ts_ms",
+        F.lit(None).cast("bigint").alias("position"))
+    after = placed.where("position > high").select("key", "op", "before", "after", "ts_ms", "position")
+    return start.unionByName(after)
+
+
 def dim_table(df: DataFrame, key: str, family: str = "info") -> DataFrame:
     """Keyed dimension table: text key and one struct of text cells."""
     cells = [F.col(c).cast("string").alias(c) for c in df.columns if c != key]

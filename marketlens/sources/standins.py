@@ -143,6 +143,10 @@ RECORDS: dict[str, str] = {
                     ELSE 'r' END AS op,
                $MS(o_orderdate) + o_orderkey AS ts_ms
         FROM {orders}""",
+    "config_record": """
+        SELECT CAST(o_orderkey AS STRING) AS id, 'src_' || CAST(o_custkey % 45 AS STRING) AS source_table,
+               $MS(o_orderdate) + (o_orderkey * 7919) % 86400000 AS ts_ms
+        FROM {orders}""",
     "old_change": """
         SELECT CASE event_type WHEN 'view' THEN 'coupon_use' WHEN 'click' THEN 'favor_info' ELSE event_type END
                    AS source_table,

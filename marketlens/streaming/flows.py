@@ -5,17 +5,18 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from marketlens.functions.clock import ts_to_date
-from marketlens.functions.scalars import is_empty
+from marketlens.functions.clock import ts_to_date, window_start
+from marketlens.functions.scalars import is_empty, keep_keys
 from marketlens.operators import filters as fl, sinks as sk, windows as win
-from marketlens.operators.joins import words_of
 from marketlens.operators.logs import tagged_log_lines
-from marketlens.operators.routing import route_dim_by_config
-from marketlens.plans.windows import SKU_SUMS, sku_chain
+from marketlens.operators.routing import ROUTE_FIELDS, route_dim_by_config
+from marketlens.plans.windows import SKU_SUMS, searched_words, sku_chain
 from marketlens.session import ROCKSDB_PROVIDER, settings
-from marketlens.streaming import processors as pr
+from marketlens.sources.readers import split_dirty
+from marketlens.sources.schemas import LOG
+from marketlens.streaming import buckets as bk, processors as pr
 
 
 @contextmanager
@@ -25,6 +26,13 @@ def state_settings(spark: SparkSession):
         yield spark
 
 
+@contextmanager
+def clock_settings(spark: SparkSession):
+    """Settings to run a query with timers of the clock to the end of its input: such a query asks for empty micro-batches for ever."""
+    with settings(spark, spark__sql__streaming__noDataMicroBatches__enabled="false"):
+        yield spark
+
+
 def with_watermark(df: DataFrame, delay: str, ts: str = "ts_ms") -> DataFrame:
     """Event time ``rt`` with a watermark."""
     return df.withColumn("rt", F.timestamp_millis(ts)).withWatermark("rt", delay)
@@ -38,10 +46,16 @@ def _plus(schema: StructType, *names: str) -> StructType:
 
 
 def first_of_day(df: DataFrame, key: str, order: list[str], only: bool, delay: str = "0 seconds",
-                 zone: str = "UTC") -> DataFrame:
-    """Rows with ``is_first``; event time goes along as ``rt``."""
-    timed = with_watermark(df, delay)
-    return pr.keyed_rule(timed, key, pr.FirstOfDay(order, only, zone=zone), _plus(timed.schema, "is_first"), "rt")
+                 zone: str = "UTC", initial: DataFrame | None = None) -> DataFrame:
+    """Rows with ``is_first`` (or just the first ones); event time goes along as ``rt``.
+
+    A first row is held until a day after its time, when the watermark has passed the end of its day. ``initial``: key, visit_date and
+    ts_ms of days that a table before the stream has seen.
+    """
+    timed = with_watermark(df, delay).withColumn("visit_date", ts_to_date("ts_ms", zone))
+    rule = bk.FirstSeen(timed.schema, [key, "visit_date"], order, pr.DAY_MS)
+    rows = bk.bucketed(timed, [key], rule, _plus(timed.schema, "is_first"), "rt", initial=initial).drop("visit_date")
+    return rows.where("is_first = 1") if only else rows
 
 
 def visitors(logs: DataFrame, order: list[str], seconds: int = 10, zone: str = "UTC") -> DataFrame:
@@ -78,31 +92,43 @@ def cart_users(carts: DataFrame, order: list[str], seconds: int = 2, zone: str =
         win.tumble_stream(rows, seconds, [], [F.count("*").alias("cart_add_uu_ct")]), seconds, zone)
 
 
-def search_keywords(logs: DataFrame, seconds: int = 10, delay: str = "3 seconds") -> DataFrame:
+def search_keywords(logs: DataFrame, seconds: int = 10, delay: str = "3 seconds",
+                    dictionary: dict[str, float] | None = None) -> DataFrame:
     """Searched words; needs no state of ours."""
-    words = words_of(fl.filter_search_keyword(logs), "fullword", ["ts_ms"]).withColumnsRenamed({"word": "keyword"})
+    words = searched_words(logs, dictionary)
     counts = win.tumble_stream(words, seconds, ["keyword"], [F.count("*").alias("keyword_count")], delay=delay)
     return win.with_window_text(counts, seconds)
 
 
 def province_orders(facts: DataFrame, provinces: DataFrame, order: list[str], seconds: int = 4,
-                    keep_ms: int = 400 * pr.DAY_MS) -> DataFrame:
+                    keep_ms: int = 400 * pr.DAY_MS, delay: str = "0 seconds") -> DataFrame:
     """Order amount and distinct orders per province, with versions taken back that are replaced within ``keep_ms``.
 
-    The name lookup joins the window results with the province table, which Spark reads per micro-batch.
+    Three stateful steps: the newest version per order line, the first row per window, province and order, the sums. So an order is
+    a row of state of its own and no state row holds a set. A version that is replaced more than ``delay`` later stays in its closed
+    window. The province table is read per micro-batch.
     """
-    timed = with_watermark(facts, "0 seconds")
-    rows = pr.keyed_rule(timed, "id", pr.RetractPrevious(timed.schema, order, "split_total_amount", keep_ms),
-                         timed.schema, "rt")
+    timed = with_watermark(facts, delay)
+    rows = bk.bucketed(timed, ["id"], bk.RetractPrevious(timed.schema, "id", order, "split_total_amount", keep_ms),
+                       timed.schema, "rt").withColumn("window_ms", window_start("ts_ms", seconds))
+    keys = ["window_ms", "province_id", "order_id"]
+    rows = bk.bucketed(rows, keys, bk.FirstSeen(rows.schema, keys, order, seconds * 1000), _plus(rows.schema, "is_first"), "rt")
     sums = win.tumble_stream(rows, seconds, ["province_id"], [
-        F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
-        *win.decimal_sums({"split_total_amount": "order_amount"})])
+        F.sum("is_first").alias("order_count"), *win.decimal_sums({"split_total_amount": "order_amount"})])
     names = provinces.select(F.col("id").alias("province_id"), F.col("name").alias("province_name"))
     named = sums.join(names, "province_id", "left").withColumn(
         "province_name", F.coalesce("province_name", F.lit("")))
     return win.with_window_text(named, seconds)
 
 
+def processing_windows(df: DataFrame, keys: list[str], sums: list[str], seconds: int = 10) -> DataFrame:
+    """Sums per key and window of the time the rows are worked on: keys, sums, ``window_ms``. Each window comes once, after its end."""
+    kept = [df.schema[k] for k in keys]
+    out = StructType([*kept, *[StructField(n, LongType()) for n in (*sums, "window_ms")]])
+    rows = df.select(*keys, *[F.col(s).cast("bigint").alias(s) for s in sums])
+    return bk.bucketed(rows, keys, bk.ProcessingWindows(kept, sums, seconds), out, time_mode="ProcessingTime")
+
+
 def sku_lines(facts: DataFrame, order: list[str]) -> DataFrame:
     """The last version of each order line, held back for five seconds of event time."""
     timed = with_watermark(facts, "0 seconds")
@@ -145,6 +171,28 @@ def dim_sink(changes: DataFrame, routes, path: str, checkpoint: str):
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def as_of_config(records: DataFrame, versions: DataFrame, spread: int = 16) -> DataFrame:
+    """Change records routed by the config in force at their time, while the config itself is a stream.
+
+    ``versions``: rows of :func:`config_versions`. Each version goes to ``spread`` shares of its table, each record to one, so that a table with
+    most of the records is not one state. The payload is cut down as in batches.
+    """
+    rows = records.select(
+        F.col("source")["table"].alias("source_table"), F.col("op").alias("record_op"), "ts_ms", F.lit(0).alias("is_config"),
+        F.to_json(F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))).alias("payload"))
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("payload", "ts_ms"), F.lit(spread)).cast("int"))
+    config = versions.select("*", F.lit(1).alias("is_config"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("share"))
+    both = rows.unionByName(config, allowMissingColumns=True)
+    held = StructType([both.schema[n] for n in ("source_table", *ROUTE_FIELDS[1:], "op", "ts_ms")])
+    out = StructType([*[both.schema[n] for n in ("source_table", "record_op", "ts_ms", "payload")],
+                      *[both.schema[n] for n in ROUTE_FIELDS[1:]]])
+    routed = bk.bucketed(both, ["source_table", "share"], bk.AsOfConfig(held, "source_table", ["record_op", "payload"]), out)
+    payload = F.from_json("payload", "map<string,string>")
+    return routed.where("payload IS NOT NULL").select(
+        "source_table", "sink_table", "sink_family", F.element_at(payload, F.col("sink_row_key")).alias("row_key"),
+        F.col("record_op").alias("op"), "ts_ms", keep_keys(payload, "sink_columns").alias("data"))
+
+
 def log_sink(logs: DataFrame, path: str, checkpoint: str):
     """Start the log splitter: one pass per micro-batch writes all five kinds, each under its name."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -154,6 +202,33 @@ def log_sink(logs: DataFrame, path: str, checkpoint: str):
     return logs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def log_job(lines: DataFrame, order: list[str], keep_ms: int | None = None, delay: str = "0 seconds", zone: str = "UTC") -> DataFrame:
+    """The client-log job: texts in ``value`` to lines of six kinds, ``stream`` and ``value``.
+
+    Texts that are no record go on as ``dirty``. The mark of new visitors is corrected against the state of the device, with the record
+    going along as its text; then each record is split into error, start, display, action and page lines.
+    """
+    clean, dirty = split_dirty(lines, LOG)
+    record = [f.name for f in StructType.fromDDL(LOG).fields]
+    marks = clean.select(*[c for c in clean.columns if c not in record], F.col("common.mid").alias("mid"),
+                         F.col("common.is_new").alias("is_new"), F.col("ts").alias("ts_ms"), F.to_json(F.struct(*record)).alias("value"))
+    if keep_ms is not None:
+        marks = with_watermark(marks, delay)
+    kept = StructType([f for f in marks.schema.fields if f.name != "rt"])
+    rows = bk.bucketed(marks, ["mid"], bk.FixIsNew(kept, order, keep_ms, zone), kept)
+    fixed = rows.select("is_new", F.from_json("value", LOG).alias("r")).select("is_new", "r.*")
+    fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
+    return tagged_log_lines(fixed).unionByName(dirty.select(F.lit("dirty").alias("stream"), "value"))
+
+
+def topic_sink(lines: DataFrame, path: str, checkpoint: str):
+    """Start a sink for lines of several kinds: one pass per micro-batch, each line under its kind, a repeated batch replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.select("stream", "value").write.mode("overwrite").partitionBy("stream").text(f"{path}/batch={batch_id}")
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def upsert_sink(rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]):
     """Start a keyed sink: the last row per key of each micro-batch, merged on read."""
     def write(batch: DataFrame, batch_id: int) -> None:

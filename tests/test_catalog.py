@@ -26,8 +26,12 @@ def test_inventory_is_covered():
     assert sorted(i for i in ids if i not in QUERIES) == []
 
 
+#: SQL cannot express these; they are compared with plain Python elsewhere.
+WITHOUT_SQL = {"udtf_keyword_dictionary"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +46,7 @@ def db():
 SAMPLE = ["route_dim_by_config", "split_log_streams", "join_order_detail_4way", "join_refund_pay_3way", "ijoin_order",
           "dim_lookup_sku_chain", "agg_run_summary", "uv_daily_flag", "retract_previous", "job_dim", "job_dwd_log",
           "job_dws_province", "job_dws_visitor", "job_page_profile", "job_merge_label", "job_sensitive_words",
-          "src_json_stream", "stream_ijoin_order", "fn_datetime_to_ts", "fn_window_format"]
+          "src_json_stream", "stream_ijoin_order", "ijoin_scores", "ijoin_user_label", "route_dim_as_of", "job_ods_hand_over", "fn_datetime_to_ts", "fn_window_format"]
 
 
 @pytest.mark.parametrize("name", SAMPLE)
