@@ -256,7 +256,9 @@ def induce(pages: DataFrame) -> DataFrame:
     total = per.where("node = -1").select("host", F.col("n").alias("total")).where(F.col("total") >= LEAST_PAGES)
     constant = (per.where("node >= 0").join(total, "host").where(F.col("n") * 100 >= F.col("total") * TEMPLATE_PERCENT)
                 .groupBy("host").agg(F.collect_list(F.struct("node", "text")).alias("template")))
-    return wrappers.join(constant, "host", "left")
+    # Written, so that the planner knows the size and can spare the pages a shuffle.
+    wrappers.join(constant, "host", "left").write.parquet(os.path.join(path, "wrappers"))
+    return pages.sparkSession.read.parquet(os.path.join(path, "wrappers"))
 
 
 def main_text(page: str, wrapper: str | None, template: frozenset[tuple[int, int]]) -> str:
