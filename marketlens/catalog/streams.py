@@ -135,7 +135,8 @@ def stream_agg_keyword_count(spark, sf):
 def stream_retract_previous(spark, sf):
     facts = st.record(spark, sf, "trade_order_detail").select("id", "order_id", "province_id", *VERSION)
     facts = as_stream(facts, id="none", split_total_amount="0")
-    rows = drained(spark, flows.province_orders(facts, st.record(spark, sf, "dim_base_province"), VERSION))
+    # Versions of a line may lie in different thirds.
+    rows = drained(spark, flows.province_orders(facts, st.record(spark, sf, "dim_base_province"), VERSION, delay="1 day"))
     return rows.where(F.col("cur_date") != FAR_DATE).withColumn(
         "order_amount", F.col("order_amount").cast("decimal(38,4)").cast("string"))
 
@@ -234,7 +235,7 @@ def stream_join_order_detail_idle(spark, sf):
     orders = st.record(spark, sf, "order_info").select(F.col("id").alias("order_id"), "user_id", "ts_ms")
     details = st.record(spark, sf, "order_detail").where(NOT_EVERY.format(sku="sku_id")).select(
         "order_id", "id", "sku_id", (F.col("ts_ms") + F.expr(SPREAD.format(id="id"))).alias("ts_ms"))
-    return drained(spark, sfacts.idle_join(as_stream(orders), as_stream(details), "order_id", delay="1 day"))  # thirds of both tables
+    return drained(spark, sfacts.idle_join(as_stream(orders), as_stream(details), "order_id", delay="5 days"))  # the thirds of the two tables end at different times
 
 
 @query("stream_win_processing", "SELECT mid, count(*) AS n FROM page_log GROUP BY mid", ["page_log"])

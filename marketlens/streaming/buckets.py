@@ -177,31 +177,38 @@ class FixIsNew(Bucketed):
 class IdleJoin(Bucketed):
     """Pairs of left and right rows with equal keys, however far apart, as long as the key is not idle for ``idle_ms`` in between.
 
-    Every row of a key, on either side, puts the end of its state off; after a longer silence the key starts anew. Held: the rows of
-    each key since its last silence. A row that comes late within the watermark's delay sees what its key then holds.
+    Every row of a key, on either side, puts the end of its state off; after a longer silence the key starts anew. Held: the rows of each
+    stretch without silence until the watermark has passed its end by ``idle_ms``. A late row may join two stretches; their pairs come then.
     """
 
     def __init__(self, held: StructType, key: str, left: list[str], right: list[str], idle_ms: int):
         super().__init__(held)
         self.key, self.left, self.right, self.idle_ms = key, left, right, idle_ms
 
+    def _stretches(self, rows: pd.DataFrame) -> pd.Series:
+        """Number of the stretch of each row among those of its key; rows are in the order of key and time."""
+        silent = (rows.groupby(self.key)["ts_ms"].diff() > self.idle_ms).fillna(False).astype("int64")
+        return silent.groupby(rows[self.key]).cumsum()
+
     def step(self, old, new):
-        """Stretches without silence by sorting; pairs of a stretch that have a new row."""
-        rows = pd.concat([old.assign(_new=False), typed(new, self.held).assign(_new=True)], ignore_index=True)
+        """Pairs of a stretch that were not in one stretch before."""
+        old = _sorted(old, [self.key, "ts_ms"])
+        rows = pd.concat([old.assign(_was=self._stretches(old)), typed(new, self.held).assign(_was=-1)], ignore_index=True)
         rows = _sorted(rows, [self.key, "ts_ms"])
-        silent = (rows.groupby(self.key)["ts_ms"].diff() > self.idle_ms).fillna(False).astype("int64")
-        rows["_part"] = silent.groupby(rows[self.key]).cumsum()
+        rows["_part"] = self._stretches(rows)
         sides = [rows[rows["is_left"] == flag] for flag in (1, 0)]
         pairs = sides[0].merge(sides[1], on=[self.key, "_part"], suffixes=("", "_r"))
-        pairs = pairs[pairs["_new"] | pairs["_new_r"]]
+        pairs = pairs[(pairs["_was"] < 0) | (pairs["_was_r"] < 0) | (pairs["_was"] != pairs["_was_r"])]
         out = pairs[[self.key, *self.left, "ts_ms"]].assign(
             right_ts=pairs["ts_ms_r"], **{c: pairs[f"{c}_r"] for c in self.right})
-        return out, rows[rows["_part"] == rows.groupby(self.key)["_part"].transform("max")]
+        return out, rows
 
     def store(self, rows, watermark):
-        """Keys that have been silent for too long go as a whole."""
+        """Stretches that ended too long ago go as a whole."""
         if len(rows):
-            rows = rows[rows.groupby(self.key)["ts_ms"].transform("max") + self.idle_ms > watermark]
+            rows = _sorted(rows, [self.key, "ts_ms"])
+            end = rows.groupby([rows[self.key], self._stretches(rows)])["ts_ms"].transform("max")
+            rows = rows[end + self.idle_ms > watermark]
         super().store(rows, watermark)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
