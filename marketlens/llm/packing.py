@@ -9,6 +9,7 @@ stay unfilled however many tasks there were.
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from marketlens.llm import tokens
 
 OPEN_SEQUENCES = 4096
 GROUP_PIECES = 200_000
-_PIECES = ("doc_id long, piece int, start long, length long, ids array<int>, part int, row long, sequence_id long, "
+_PIECES = ("doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, part int, row long, sequence_id long, "
            "offset long, open boolean")
 
 
@@ -77,9 +78,11 @@ def pieces_of(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, *, spaced: bool, size: int = 1024, doc_id: str = "doc_id",
-         text: str = "text") -> DataFrame:
+         text: str = "text", checksum: bool = False) -> DataFrame:
     """Pack all texts: one row per piece with doc_id, piece, start, length, ids, sequence_id, offset.
 
+    ``checksum`` adds ids_crc32, the unsigned CRC-32 of a piece's ids as little-endian 32-bit integers, taken where the piece is made.
+
     Null texts count as empty (the end id alone); repeated rows are packed as often as they occur; null ids stay null;
     other columns are left out; an empty table gives no rows. Only documents of more than ``size`` ids are cut.
     """
@@ -100,9 +103,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, spaced: bool, size: in
             of = lambda k, kind: pa.array([r[k] for r in ready], kind)
             batch = pa.RecordBatch.from_arrays(
                 [of(0, pa.int64()), of(1, pa.int32()), of(2, pa.int64()), of(3, pa.int64()), flat,
-                 pa.array(np.full(len(ready), part, np.int32)), of(5, pa.int64()), of(6, pa.int64()), of(7, pa.int64()),
+                 pa.array([zlib.crc32(r[4]) for r in ready], pa.int64()), pa.array(np.full(len(ready), part, np.int32)), of(5, pa.int64()), of(6, pa.int64()), of(7, pa.int64()),
                  of(8, pa.bool_())],
-                names=["doc_id", "piece", "start", "length", "ids", "part", "row", "sequence_id", "offset", "open"])
+                names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "part", "row", "sequence_id", "offset", "open"])
             ready.clear()
             return batch
 
@@ -132,7 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, *, spaced: bool, size: in
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows.mapInArrow(first_round, _PIECES).write.partitionBy("open").parquet(path)
     table = spark.read.schema(_PIECES).parquet(path)
-    done = ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
+    done = ["doc_id", "piece", "start", "length", "ids", *(["ids_crc32"] if checksum else []), "sequence_id", "offset"]
     left = table.where("open").select("part", "row", "length")
     groups = max(1, -(-left.count() // GROUP_PIECES))
 

@@ -43,8 +43,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sum_of_squares_packing")
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids, with checksums of the pieces."""
-    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, spaced=True)
-    return token_files.with_checksum(packed, "ids")
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, spaced=True,
+                        checksum=True).drop("ids")
 
 
 URL_RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"),
