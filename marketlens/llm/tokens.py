@@ -22,6 +22,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to Python only
 _RARE_BLANKS = re.compile("[\x1c-\x1f\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
+_GAPS = re.compile(r"(\A[ \n]+|[ \n]{2,}|[ \n]+\Z)")  # blanks that are not one between two words
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that byte-level pieces show as they are
 _BYTE_CHARS = dict(zip(sorted(set(range(256)) - _SHOWN), range(256, 512)))
 _encoders: dict[tuple[str, bool], Callable[[str], bytes]] = {}
@@ -51,18 +52,26 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
     def ids(text: str) -> np.ndarray:
         return np.array(tool.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    model = tool.model
+    tokenize = tool.model.tokenize
+    blank = chr(_BYTE_CHARS[32])
     mark_id = ids(mark)[0]
     pieces: dict[str, bytes] = {}
     heads: dict[str, bytes] = {}
     tails: dict[str, bytes] = {}
 
+    def word(p: str) -> bytes:
+        """Ids of letters, maybe after a blank, which stay as they are where they are ASCII."""
+        if not p.isascii():
+            p = p.encode().decode("latin-1").translate(_BYTE_CHARS)
+        elif p[0] == " ":
+            p = blank + p[1:]
+        return array("I", [t.id for t in tokenize(p)]).tobytes()
+
     def learn(new: set[str]) -> None:
         together = []
         for p in new:
             if p.lstrip(" ").isalpha():  # one piece to the tokenizer as well: its model alone is faster
-                shown = p.encode().decode("latin-1").translate(_BYTE_CHARS)
-                pieces[p] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+                pieces[p] = word(p)
             elif mark.strip(" ") in p or p.isspace():
                 pieces[p] = ids(p).tobytes()
             else:
@@ -82,8 +91,13 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
         return [b"".join([pieces[p] for p in x]) for x in found]
 
     def keep(memo: dict[str, bytes], chunks: list[str], prefix: str) -> None:
-        new = list({c for c in chunks if c not in memo})
-        memo.update(zip(new, slow([prefix + c for c in new] if prefix else new), strict=True))
+        mixed = []
+        for c in {c for c in chunks if c not in memo}:
+            if c.isalpha():
+                memo[c] = word(prefix + c)
+            else:
+                mixed.append(c)
+        memo.update(zip(mixed, slow([prefix + c for c in mixed] if prefix else mixed), strict=True))
 
     def by_chunk(text: str) -> bytes:
         if not spaced:
@@ -93,16 +107,40 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
             except KeyError:
                 keep(tails, chunks, "")
                 return b"".join(map(tails.__getitem__, chunks))
+        return words_of(text, False)
+
+    def words_of(text: str, after_blank: bool) -> bytes:
         lines = [line.split(" ") for line in text.split("\n")]
         try:
-            return joined(lines)
+            return joined(lines, after_blank)
         except KeyError:
             keep(heads, [x[0] for x in lines], "")
-            keep(tails, [c for x in lines for c in x[1:]], " ")
-            return joined(lines)
-
-    def joined(lines: list[list[str]]) -> bytes:
-        return line_end.join([heads[x[0]] + b"".join(map(tails.__getitem__, x[1:])) for x in lines])
+            keep(tails, [c for x in lines for c in x[1:]] + lines[0][:1] * after_blank, " ")
+            return joined(lines, after_blank)
+
+    def joined(lines: list[list[str]], after_blank: bool) -> bytes:
+        found = [heads[x[0]] + b"".join(map(tails.__getitem__, x[1:])) for x in lines]
+        if after_blank:
+            found[0] = b"".join(map(tails.__getitem__, lines[0]))
+        return line_end.join(found)
+
+    def blanks(run: str) -> bytes:
+        if run and run not in pieces:
+            pieces[run] = ids(run).tobytes()
+        return pieces[run] if run else b""
+
+    def with_gaps(text: str) -> bytes:
+        """A run of blanks is one piece at the end; before a word its last blank goes with the word, or is a piece if a line end."""
+        parts, out, after_blank = _GAPS.split(text), [], False
+        for k in range(0, len(parts), 2):
+            if parts[k]:
+                out.append(words_of(parts[k], after_blank))
+            if k + 1 < len(parts):
+                run = parts[k + 1]
+                last = k + 2 == len(parts) - 1 and not parts[k + 2]
+                after_blank = not last and run[-1] == " "
+                out.append(blanks(run) if last else blanks(run[:-1]) + (b"" if after_blank else line_end))
+        return b"".join(out)
 
     line_end = mark_id.tobytes()
 
@@ -125,8 +163,10 @@ def _make(path: str, spaced: bool) -> Callable[[str], bytes]:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
             return by_chunk(text.lower())
-        if _RARE_BLANKS.search(text) or text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS):
+        if _RARE_BLANKS.search(text):
             return ids(text).tobytes() if _SEPARATORS.search(text) else slow([text])[0]
+        if text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS):
+            return with_gaps(text)
         return by_chunk(text)
 
     return encode
