@@ -28,6 +28,7 @@ MAX_WORDS = 4
 TOP = 2000
 COVER_PERCENT = 80  # a phrase goes if a longer one accounts for that share of it
 UNKNOWN = "und"
+RANK_SHARES = 64
 
 TILE = 256
 DENSE = 8  # tile (i, j) is dense if (i + 1) * (j + 1) is at most this: frequent with frequent
@@ -188,7 +189,7 @@ class _Tally:
 
     def _batch(self, u: np.ndarray, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         of = lambda x: pa.array(x.view(np.int64))
-        return pa.RecordBatch.from_arrays([of(pair_key(u, v)), of(u), of(v), pa.array(n)], names=["key", "u", "v", "n"])
+        return pa.RecordBatch.from_arrays([of(u), of(v), pa.array(n)], names=["u", "v", "n"])
 
     def _sparse(self) -> pa.RecordBatch:
         u, v = (np.concatenate([np.empty(0, np.uint64), *(r[k] for r in self.rest)]) for k in (0, 1))
@@ -227,8 +228,14 @@ def _neighbours(docs: DataFrame, heads: list[np.ndarray], filters: list[bytes],
             yield from tally.add(units, np.flatnonzero(good[:-1] & good[1:] & (pieces[:-1] == pieces[1:])))
         yield from tally.finish()
 
-    found = docs.mapInArrow(counted, "key long, u long, v long, n long")
-    return found.groupBy("key", "u", "v").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = pair_key(*(batch.column(k).to_numpy().view(np.uint64) for k in (0, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], names=["key", "u", "v", "n"])
+
+    found = docs.mapInArrow(counted, "u long, v long, n long")
+    often = found.groupBy("u", "v").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return often.mapInArrow(keyed, "key long, u long, v long, n long")
 
 
 def cut_score(a: Column, left: Column, right: Column) -> Column:
@@ -299,8 +306,12 @@ def phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", min_coun
                 F.col("f").isNull() | (F.col("f") * 100 < F.col("n") * COVER_PERCENT))
         level = level.select("lang", "phrase", F.col("n").alias("a"), F.array_min(F.array(*cuts)).alias("c"))
         ranked = level if ranked is None else ranked.unionByName(level)
-    order = Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"), "phrase")
-    best = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # First within shares of a language, so that the last step has few rows however many phrases there are.
+    order = [F.desc("c.score"), F.desc("a"), F.col("phrase")]
+    best = ranked.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES)))
+    for by in (["lang", "share"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        best = best.withColumn("rank", place).where(F.col("rank") <= top)
     return best.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"),
         F.col("total").alias("n"), F.col("c.score").alias("score"))

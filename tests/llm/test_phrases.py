@@ -85,7 +85,7 @@ def test_pairs_of_all_tiles_are_counted():
     assert len(tally.dense) == 2 and sum(b.num_rows for b in batches[:-2]) > 0
     got = collections.Counter()
     for b in batches:
-        for u, v, n in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
+        for u, v, n in zip(*(b.column(k).to_pylist() for k in (0, 1, 2))):
             got[u, v] += n
     assert got == collections.Counter(zip(units[:-1].view(np.int64).tolist(), units[1:].view(np.int64).tolist()))
 
