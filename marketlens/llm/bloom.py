@@ -39,3 +39,16 @@ def reader(packed: bytes) -> Callable[[np.ndarray], np.ndarray]:
         one, two = _slots(keys)
         return table[one] & table[two]
     return maybe
+
+
+def compact_reader(packed: bytes) -> Callable[[np.ndarray], np.ndarray]:
+    """As :func:`reader`, but with the bits left packed: an eighth of the memory for a little more work per key."""
+    table = np.frombuffer(packed, np.uint8)
+
+    def bit(slots: np.ndarray) -> np.ndarray:
+        return (table[slots >> np.uint64(3)] >> (np.uint64(7) - (slots & np.uint64(7))).astype(np.uint8)) & np.uint8(1)
+
+    def maybe(keys: np.ndarray) -> np.ndarray:
+        one, two = _slots(keys)
+        return (bit(one) & bit(two)).astype(bool)
+    return maybe

@@ -214,7 +214,7 @@ def _neighbours(docs: DataFrame, heads: list[np.ndarray], filters: list[bytes],
     ranked, known = context.broadcast(heads), context.broadcast(filters)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, maybe = _Tally(ranked.value), [bloom.reader(f) for f in known.value]
+        tally, maybe = _Tally(ranked.value), [bloom.compact_reader(f) for f in known.value]
         for block in _blocks(batches):
             _, _, units, pieces, _ = _words(*block)
             good = maybe[0](units)
