@@ -172,3 +172,17 @@ def test_hand_over_has_one_version_per_key_and_loses_no_change(spark):
         assert r.op == "c" or r.key in state  # the state at the hand-over fits the changes that follow
         state.pop(r.key, None) if r.op == "d" else state.__setitem__(r.key, r.after)
     assert state == live
+
+
+def test_labels_have_a_row_for_each_pair_and_counts_add_them_up(spark):
+    rnd = random.Random(7)
+    pages = [(rnd.choice("ab"), T0 + rnd.randrange(4) * 20 * 3_600_000, rnd.choice([0.1, 0.3]), rnd.choice([0.0, 0.9])) for _ in range(30)]
+    lines = [(rnd.choice("abc"), T0 + rnd.randrange(6) * 12 * 3_600_000, rnd.choice([0.1, 0.5])) for _ in range(25)]
+    near = [(p, t, "50" if w > s + 4 * x else "18_24") for p, t, s, w in pages for q, u, x in lines if p == q and abs(t - u) <= 86_400_000]
+    pages = spark.createDataFrame(pages, "uid STRING, ts_ms BIGINT, device_18_24 DOUBLE, search_50 DOUBLE")
+    lines = spark.createDataFrame(lines, "user_id STRING, ts_ms BIGINT, x DOUBLE").select("user_id", "ts_ms", *[F.col("x").alias(c) for c in pf.ORDER_SCORES])
+    got = rows(pf.age_label_rows(pages, lines))
+    assert got == sorted(near, key=repr) and len(got) > len(set(got))
+    counts = Counter((u, b) for u, _, b in got)
+    assert rows(pf.age_level_counts(pages, lines)) == sorted(((*k, n) for k, n in counts.items()), key=repr)
+    assert rows(pf.age_labels(pages, lines)) == sorted(set(got), key=repr)
