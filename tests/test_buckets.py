@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 import time
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from test_keyed import FACTS, ORDER, SCHEMA, T0, facts, logs
 from test_streams import _held, drain, stream_of  # noqa: F401
 
@@ -176,3 +178,77 @@ def test_bloom_filter_loses_nothing(spark, stream_of, drain):  # noqa: F811
 
 def test_filter_size():
     assert bk.filter_size(1000, 0.01) == (9592, 7) and bk.filter_size(0, 0.5)[1] >= 1
+
+
+def test_state_of_a_bucket_is_a_few_rows(spark, stream_of, drain, tmp_path):  # noqa: F811
+    """The store hands over row by row, so a bucket must not have a row of state per key."""
+    df = spark.range(3000).selectExpr("CONCAT('d', id) AS mid", f"{T0} + id AS ts_ms", "CAST(id AS INT) AS row_id", "'1' AS is_new")
+    stream = stream_of(df, parts=3)
+    assert drain(bk.bucketed(stream, ["mid"], bk.FixIsNew(stream.schema, ORDER), stream.schema, buckets=4)).count() == 3000
+    state = spark.read.format("statestore").option("stateVarName", "rows").load(str(tmp_path / "checkpoint"))
+    assert state.count() == 4
+
+
+def test_packed_rows_come_back(monkeypatch):
+    monkeypatch.setattr(bk, "CHUNK", 2)
+    schema = StructType.fromDDL("a STRING, n BIGINT, i INT, x DOUBLE")
+    given = bk.typed(pd.DataFrame({"a": ["x", None, "\u00e9", "", "y"], "n": [1, None, 2**62, -1, 0], "i": [1, 2, 3, None, 5],
+                                   "x": [0.5, 1.5, None, 2.0, -0.0]}, dtype=object).astype({"x": "float64"}), schema)
+    chunks = bk.packed(given, schema)
+    back = bk.unpacked(chunks, schema)
+    as_rows = lambda df: list(df.astype(object).where(df.notna(), None).itertuples(index=False, name=None))
+    assert len(chunks) == 3 and as_rows(back) == as_rows(given) and list(back.dtypes[["n", "i"]]) == ["Int64", "Int64"]
+    assert len(bk.unpacked([], schema)) == 0
+
+
+@pytest.mark.parametrize("size", [3, 40])
+def test_debounce_gives_the_newest_version_once(spark, stream_of, drain, size):  # noqa: F811
+    """Versions of a key within the delay come as one, later ones again."""
+    rnd = random.Random(size)
+    hour, data, parts = 3_600_000, [], []
+    for burst in range(3):
+        data += (part := [(f"k{rnd.randrange(size)}", T0 + burst * hour + rnd.randrange(3), rnd.choice(["1", "2", None])) for _ in range(60)])
+        parts += [*part, *[("end", T0 + burst * hour + hour // 2, "0")] * 60]  # the timers of a part fire with the next one
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(parts)], "n INT, id STRING, ts_ms BIGINT, split_total_amount STRING")
+    stream = stream_of(df, parts=6, order="n").drop("n")
+    got = drain(flows.sku_lines(stream, ["ts_ms", "split_total_amount"])).where("id <> 'end'").select("id", "ts_ms", "split_total_amount")
+    best = {}
+    for k, t, v in data:
+        burst = (k, (t - T0) // hour)
+        best[burst] = max(best.get(burst, (-1, "")), (t, v or ""))
+    assert rows(got) == sorted(((k, t, v or None) for (k, _), (t, v) in best.items()), key=repr)
+
+
+def test_dedup_latest_in_buckets_equals_brute_force(spark, stream_of, drain):  # noqa: F811
+    rnd = random.Random(3)
+    data = [(i, rnd.choice(["hot", "a", "b", None]), T0 + rnd.randrange(400)) for i in range(400)]
+    stream = stream_of(spark.createDataFrame(data, "n INT, uid STRING, ts_ms BIGINT"), parts=4, order="n")
+    got = drain(bk.bucketed(stream, ["uid"], bk.DedupLatest(stream.schema, "uid", ["n"]), stream.schema, buckets=2))
+    top, want = {}, []
+    for n, k, t in data:
+        if t > top.get(k, -1):
+            top[k] = t
+            want.append((n, k, t))
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_config_as_a_stream_by_pieces_of_time(spark, stream_of, tmp_path, drain):  # noqa: F811
+    """Versions in few pieces, records in all: each finds the newest version before it, however many pieces lie between."""
+    rnd, table = random.Random(9), {"table": "t"}
+    made = [(t, rnd.choice("cud")) for t in sorted(rnd.sample(range(1000), 60)) if t % 300 < 120]
+    cells = lambda t: {"source_table": "t", "sink_table": f"s{t}", "sink_columns": "id", "sink_family": "info", "sink_row_key": "id"}
+    kind = "op STRING, before MAP<STRING,STRING>, after MAP<STRING,STRING>, "
+    versions = spark.createDataFrame([(op, cells(t) if op == "d" else None, None if op == "d" else cells(t), t) for t, op in made], kind + "ts_ms BIGINT")
+    records = spark.createDataFrame([("c", None, {"id": str(t)}, table, t) for t in range(0, 1200, 3)], kind + "source MAP<STRING,STRING>, ts_ms BIGINT")
+    streams = []
+    for name, df in (("v", versions), ("r", records)):  # the same thirds of time
+        for low, high in ((0, 400), (400, 800), (800, 2000)):
+            df.where(f"ts_ms >= {low} AND ts_ms < {high}").coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        streams.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name)))
+    got = drain(flows.as_of_config(streams[1], rt.config_versions(streams[0]), spread=4, piece_ms=50))
+    want = []
+    for t in range(0, 1200, 3):
+        last = max((v for v in made if v[0] <= t), default=(0, "d"))
+        if last[1] != "d":
+            want.append((t, f"s{last[0]}"))
+    assert rows(got.select("ts_ms", "sink_table")) == sorted(want, key=repr)
