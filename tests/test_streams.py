@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_keyed import FACTS, ORDER, SCHEMA, T0, facts, logs
 
 from marketlens.operators import keyed
+from marketlens.operators.joins import stream_interval_join
 from marketlens.session import ROCKSDB_PROVIDER, settings
 from marketlens.streaming import flows, processors as pr
 
@@ -105,3 +107,18 @@ def test_late_rows_are_dropped(spark, stream_of, drain):
     stream = stream_of(df, parts=5, order="arrival")
     got = drain(win.with_window_text(win.tumble_stream(stream, 10, [], [F.count("*").alias("n")]), 10))
     assert [r.n for r in got.orderBy("stt").collect()] == [1, 1, 1]
+
+
+def test_a_join_has_one_store_and_writes_changes_only(spark, stream_of, tmp_path):
+    """Four stores a partition and whole snapshots per micro-batch cost more than the rows of small micro-batches."""
+    df = spark.createDataFrame([(f"k{i}", T0 + i * 1000) for i in range(30)], "k STRING, ts_ms BIGINT")
+    left = stream_of(df).withColumn("rt", F.timestamp_millis("ts_ms"))
+    right = left.select(F.col("k").alias("q"), F.col("rt").alias("at"))
+    with flows.state_settings(spark), settings(spark, spark__sql__shuffle__partitions="2"):
+        got = flows.drain(stream_interval_join(left, right, "k", "q", "rt", "at", "1 MINUTE", "1 MINUTE"),
+                          str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert got.count() == 30
+    store = tmp_path / "checkpoint" / "state" / "0" / "0"
+    files = [f.name for f in store.rglob("*") if not f.name.startswith(".")]
+    assert not [f for f in files if "keyTo" in f or "keyWith" in f]
+    assert [f for f in files if f.endswith(".changelog")]
