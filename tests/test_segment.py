@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,34 @@ def test_a_dictionary_has_a_bound(spark, monkeypatch):
     monkeypatch.setattr(sg, "MAX_WORDS", 5)
     with pytest.raises(ValueError, match="at most 5 words"):
         sg.dictionary(spark.range(6).select(F.col("id").cast("string").alias("word")))
+
+
+@pytest.mark.parametrize("table", [0, sg.TABLE])
+def test_many_stretches_at_once_equal_the_search_of_each(monkeypatch, table):
+    monkeypatch.setattr(sg, "TABLE", table)
+    monkeypatch.setattr(sg, "BLOCK", 3_000)
+    rng = random.Random(5)
+    letters = "abcde"
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 6))): rng.choice([0.0, 0.5, 1.0, 2.5]) for _ in range(150)} | {"a": 0.1}
+    texts = ["".join(rng.choice(letters + "x中. ") for _ in range(rng.choice([0, 3, 40, 900]))) for _ in range(120)]
+    texts += [None, "", "\n\n", "ab" * 3_000, " , ", "x"]
+    trie, cutter = sg.Trie(words), sg.Cutter(words)
+    for spaced in (True, False):
+        assert cutter.words_in(texts, spaced) == [sg.words_in(t, trie, spaced) for t in texts]
+    assert sg.Cutter({}).words_in(["ab c", None], True) == [sg.words_in("ab c", sg.Trie({}), True), []]
+
+
+def test_the_cost_of_a_letter_is_no_python_call():
+    cutter, calls = sg.Cutter({"the": 1.0, "then": 0.5, "end": 1.0, "hen": 0.2, "he": 0.1, "nd": 0.1}), 0
+    texts = ["thenendthendxtheend" * 20] * 500
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    try:
+        cutter.words_in(texts, spaced=True)
+    finally:
+        sys.setprofile(None)
+    assert calls < sum(map(len, texts)) / 4
