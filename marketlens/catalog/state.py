@@ -131,8 +131,8 @@ def retract_previous(spark, sf):
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY {LATEST}) AS rn FROM trade_order_detail) WHERE rn = 1""",
        ["trade_order_detail"])
 def debounce_last(spark, sf):
-    return keyed.debounce_last(st.record(spark, sf, "trade_order_detail"), "id", VERSION).select(
-        "id", "sku_id", "ts_ms", "split_total_amount")
+    versions = st.record(spark, sf, "trade_order_detail").select("id", *VERSION)
+    return keyed.debounce_last(versions, "id", VERSION).select("id", "sku_id", "ts_ms", "split_total_amount")
 
 
 @query("running_profile", RUNNING_SQL, ["page_log"], RUNNING_ROWS)

@@ -8,6 +8,7 @@ from decimal import Decimal
 
 from conftest import rows
 
+from marketlens.catalog import state
 from marketlens.operators import dedupe as dd, keyed, windows as win
 from marketlens.plans import windows as wd
 
@@ -186,3 +187,9 @@ def test_last_in_window_and_count(spark):
     text = win.with_window_text(win.count_window(df, 120, "n"), 120)
     assert rows(text) == [("2024-01-01 00:00:00", "2024-01-01 00:02:00", "2024-01-01", 2),
                           ("2024-01-01 00:02:00", "2024-01-01 00:04:00", "2024-01-01", 1)]
+
+
+def test_debounce_query_hands_on_only_what_tells_versions_apart(spark):
+    plan = state.debounce_last(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(line for line in plan.splitlines() if "Aggregate" in line)
+    assert "split_total_amount" in aggregate and "sku_name" not in aggregate and "coupon_id" not in aggregate
