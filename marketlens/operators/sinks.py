@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,8 +74,15 @@ def upsert(df: DataFrame, path: str, batch_id: int, keys: list[str], order: list
 
 def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[str],
                   deleted: Column | None = None) -> DataFrame:
-    """The last row per key over all batches; rows for which ``deleted`` holds are gone."""
-    rows = last_rows(spark.read.option("basePath", path).parquet(path).drop("batch"), keys, order)
+    """The last row per key over all batches; rows for which ``deleted`` holds are gone.
+
+    Each batch has one row per key, as :func:`upsert` wrote it with the same keys, so a table of a single batch is read as it lies.
+    """
+    table = spark.read.option("basePath", path).parquet(path)
+    batches = {os.path.basename(os.path.dirname(file)) for file in table.inputFiles()}
+    rows = table.drop("batch")
+    if len(batches) > 1:
+        rows = last_rows(rows, keys, order)
     return rows if deleted is None else rows.where(~deleted)
 
 

@@ -131,3 +131,14 @@ def test_upsert_and_compact(spark, tmp_path):
     sk.compact(spark, path, target, ["k"], ["ts"])
     assert rows(read(target).select("k", "ts")) == want
     assert rows(read(path, F.col("gone")).select("k", "ts")) == [w for w in want if w[1] % 5]
+
+
+def test_a_table_of_one_batch_is_read_without_merging(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k STRING, ts INT, v STRING")
+    plan = lambda: sk.read_upserted(spark, path, ["k"], ["ts"])._jdf.queryExecution().optimizedPlan().toString()
+    sk.upsert(df, path, 0, ["k"], ["ts"])
+    assert "Aggregate" not in plan()
+    assert rows(sk.read_upserted(spark, path, ["k"], ["ts"])) == [("a", 2, "y"), ("b", 1, "z")]
+    sk.upsert(spark.createDataFrame([("a", 3, "w")], df.schema), path, 1, ["k"], ["ts"])
+    assert "Aggregate" in plan()
+    assert rows(sk.read_upserted(spark, path, ["k"], ["ts"])) == [("a", 3, "w"), ("b", 1, "z")]
