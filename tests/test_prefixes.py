@@ -186,3 +186,18 @@ def test_labels_have_a_row_for_each_pair_and_counts_add_them_up(spark):
     counts = Counter((u, b) for u, _, b in got)
     assert rows(pf.age_level_counts(pages, lines)) == sorted(((*k, n) for k, n in counts.items()), key=repr)
     assert rows(pf.age_labels(pages, lines)) == sorted(set(got), key=repr)
+
+
+def test_the_rows_are_read_a_fixed_number_of_times_however_many_levels(spark):
+    rows = spark.createDataFrame([("u", 1_000 * i, i, "a") for i in range(40)], "uid STRING, ts BIGINT, row_id INT, os STRING")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string", useArrow=False)
+    def seen(os):
+        read.add(1)
+        return os
+
+    df = rows.withColumn("os", seen.asNondeterministic()("os"))
+    got = keyed.running_profile(df, "uid", "ts", "row_id", ["os"], width=64).collect()
+    assert sorted(r.pv for r in got) == list(range(1, 41))
+    assert read.value <= 3 * 40
