@@ -6,6 +6,7 @@ stays small however many paragraphs a page has. Nesting beyond ``DEPTH`` falls t
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections import Counter
@@ -37,6 +38,7 @@ IN_HEAD = frozenset("title meta link style script base noscript template".split(
 
 DEPTH = 100
 LOOK_UP = 100  # open elements that a start tag may close
+CACHED = 1 << 12  # start tags and labels kept, as they repeat on pages
 SAME_SIBLINGS = 8  # plain containers that stay apart under one parent; further ones join the last of them
 
 _TAG = re.compile(
@@ -46,21 +48,23 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 _DIGITS = re.compile(r"\d+")
 
 
+@functools.lru_cache(maxsize=CACHED)
+def label_of(tag: str, names: tuple[str, ...]) -> str:
+    """What an aligned node must have in common; digits do not count."""
+    return ".".join([tag, *sorted({_DIGITS.sub("", n) for n in names})])
+
+
 class Node:
-    """A block element: tag, names (class and id words), role, parent, children."""
+    """A block element: tag, names (class and id words), role, label, parent, children."""
 
-    __slots__ = ("tag", "names", "role", "parent", "children", "depth", "number")
+    __slots__ = ("tag", "names", "role", "parent", "children", "depth", "number", "label")
 
     def __init__(self, tag: str, names: tuple[str, ...] = (), role: str = "", parent: "Node | None" = None):
         self.tag, self.names, self.role, self.parent = tag, names, role, parent
         self.children: list[Node] = []
         self.depth = parent.depth + 1 if parent else 0
         self.number = -1
-
-    @property
-    def label(self) -> str:
-        """What an aligned node must have in common; digits do not count."""
-        return ".".join([self.tag, *sorted({_DIGITS.sub("", n) for n in self.names})])
+        self.label = label_of(tag, names) if names else tag
 
 
 class Block(NamedTuple):
@@ -72,6 +76,13 @@ class Block(NamedTuple):
 
 
 def _attributes(rest: str) -> tuple[tuple[str, ...], str]:
+    """Names and role of a start tag; only short ones are kept, so that the memory is bounded."""
+    if not rest or rest.isspace():
+        return (), ""
+    return _cached(rest) if len(rest) <= 256 else _parsed(rest)
+
+
+def _parsed(rest: str) -> tuple[tuple[str, ...], str]:
     names, role = [], ""
     for m in _ATTRIBUTE.finditer(rest):
         key = m[1].lower()
@@ -82,6 +93,9 @@ def _attributes(rest: str) -> tuple[tuple[str, ...], str]:
     return tuple(names), role.strip()
 
 
+_cached = functools.lru_cache(maxsize=CACHED)(_parsed)
+
+
 class _Reader:
     """Open elements, the text since the last block border, and the blocks so far."""
 
@@ -96,13 +110,17 @@ class _Reader:
     def add(self, piece: str) -> None:
         """Text between tags."""
         if piece:
-            piece = html.unescape(piece)
+            if "&" in piece:
+                piece = html.unescape(piece)
             self.text.append(piece)
             if self.link_at:
                 self.linked += len("".join(piece.split()))
 
     def finish(self, node: Node | None = None) -> None:
         """A block border: the text so far belongs to the innermost open element."""
+        if not self.text:
+            self.linked = 0
+            return
         words = " ".join("".join(self.text).split())
         if words:
             self.blocks.append(Block(node or self.open[-1][1], words, self.linked))
@@ -110,7 +128,8 @@ class _Reader:
         self.linked = 0
 
     def _close(self, k: int) -> None:
-        self.count.subtract(tag for tag, _ in self.open[k:])
+        for tag, _ in self.open[k:]:
+            self.count[tag] -= 1
         del self.open[k:]
         if self.link_at > k:
             self.link_at = 0

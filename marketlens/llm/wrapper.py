@@ -41,23 +41,33 @@ ABOUT = frozenset("has with without no not is".split())  # such names tell of an
 FOREIGN = frozenset("comment comments discussion disqus replies reply respond related recommended recommendations".split())
 FLUSH = 1 << 15
 _WORD = re.compile(r"[-_:.]+")
+_NO_MARKS: frozenset[str] = frozenset()
 
 
-def _marks(node: Node) -> set[str]:
+@functools.lru_cache(maxsize=html_tree.CACHED)
+def _marks_of(names: tuple[str, ...]) -> frozenset[str]:
     found = set()
-    for name in node.names:
+    for name in names:
         parts = _WORD.split(name)
         if parts[0] not in ABOUT:
             found |= {parts[0], parts[-1]}
-    return found & MARKS
+    return frozenset(found & MARKS)
+
+
+def _marks(node: Node) -> frozenset[str]:
+    return _marks_of(node.names) if node.names else _NO_MARKS
 
 
 def _is_outside(node: Node) -> bool:
-    return node.tag in OUTSIDE or bool(_marks(node)) or not ROLES.isdisjoint(node.role.split())
+    return node.tag in OUTSIDE or bool(_marks(node)) or bool(node.role) and not ROLES.isdisjoint(node.role.split())
 
 
 def _is_article(node: Node) -> bool:
-    return node.tag == "article" or "articlebody" in node.role.split()
+    return node.tag == "article" or bool(node.role) and "articlebody" in node.role.split()
+
+
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(node.role) and "main" in node.role.split()
 
 
 def _path(node: Node | None) -> Iterator[Node]:
@@ -68,17 +78,26 @@ def _path(node: Node | None) -> Iterator[Node]:
 
 def _regions(blocks: list[Block]) -> set[Node]:
     """The outermost articles that hold text and are neither comments nor asides; without one, the main elements."""
+    above: dict[Node | None, tuple[bool, Node | None, Node | None]] = {None: (False, None, None)}
+
+    def of(node: Node | None) -> tuple[bool, Node | None, Node | None]:
+        """Whether a node is in comments or an aside, its outermost article and main element; worked out once per node."""
+        found = above.get(node)
+        if found is None:
+            aside, article, main = of(node.parent)
+            found = (aside or node.tag == "aside" or not _marks(node).isdisjoint(FOREIGN), article or (node if _is_article(node) else None),
+                     main or (node if _is_main(node) else None))
+            above[node] = found
+        return found
+
     articles, mains = set(), set()
     for block in blocks:
-        path = [*_path(block.node)]
-        if any(n.tag == "aside" or _marks(n) & FOREIGN for n in path):
-            continue
-        found = [n for n in path if _is_article(n)]
-        if found:
-            articles.add(found[-1])
-        found = [n for n in path if n.tag == "main" or "main" in n.role.split()]
-        if found:
-            mains.add(found[-1])
+        aside, article, main = of(block.node)
+        if not aside:
+            articles.add(article)
+            mains.add(main)
+    articles.discard(None)
+    mains.discard(None)
     return articles or mains
 
 
@@ -107,8 +126,7 @@ def marked(blocks: list[Block]) -> list[tuple[bool, bool]]:
                     break
             seen[key] = good and (inside or not regions), inside and good
         good, inside = seen[key]
-        letters = len("".join(block.text.split()))
-        if good and not inside and block.linked >= letters and not heading and node.tag != "p":
+        if good and not inside and not heading and node.tag != "p" and block.linked >= len("".join(block.text.split())):
             good = False  # nothing but links: a menu
         out.append((good, inside))
     return out

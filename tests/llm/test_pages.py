@@ -134,3 +134,12 @@ def test_all_given_pages(spark):
         inner = re.search(r"<article>(.*?)</article>", given[r["page_id"]], re.S)[1]
         blocks = (" ".join(html.unescape(re.sub("<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == r["chars"]
+
+
+def test_marks_are_worked_out_once_per_element(monkeypatch):
+    """Not once per text and element around it, which is what cost most of the time beside reading."""
+    asked = []
+    monkeypatch.setattr(wrapper, "_is_article", lambda n, old=wrapper._is_article: asked.append(n) or old(n))
+    _, blocks = html_tree.read("<div><section><article>" + "<p>some text</p>" * 50 + "</article></section></div>")
+    assert [x for x in wrapper.marked(blocks)] == [(True, True)] * 50
+    assert len(asked) == len(set(asked)) <= 54
