@@ -8,7 +8,6 @@ references are a small table that is learned first.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,18 +43,9 @@ def duplicate_lines(text: Column) -> Column:
 def repeated_words(word_list: Column, n: int = 5) -> Column:
     """Number of words inside windows of ``n`` words that occur twice or more, all occurrences counted."""
     def windows(h: Column) -> Column:
-        """Hashes of all windows, built from hashes of shorter ones."""
-        def joined(x: Column, y: Column, shift: int) -> Column:
-            return F.zip_with(F.slice(x, F.lit(1), F.greatest(F.size(y) - shift, F.lit(0))),
-                              F.slice(y, F.lit(1 + shift), F.greatest(F.size(y) - shift, F.lit(0))),
-                              lambda a, b: F.xxhash64(a, b))
-        def grown(shift: int) -> Callable[[Column], Column]:
-            return lambda x: joined(x, h, shift)
-
-        out = h
-        for shift in range(1, n):
-            out = _each(out, grown(shift))
-        return out
+        """Hashes of all windows, each made at once from those of its words."""
+        return F.slice(F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, n)])),
+                       F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(0)))
 
     def covered(win: Column) -> Column:
         places = _each(F.sort_array(F.transform(win, lambda x, i: F.struct(x.alias("x"), i.alias("i")))), lambda s: F.filter(
@@ -101,18 +91,20 @@ def references(measured: DataFrame) -> DataFrame:
     """One row per language of at least ``LEAST_DOCS`` documents: class shares, common words, and the shares of these words
     (and of all others) in a document's words; means over the documents.
 
-    ``measured`` has columns lang (not null), n_words, classes, lowered (the text in lower case); documents without words
-    are left out.
+    ``measured`` has columns lang (not null), word_chars, classes, lowered (the text in lower case); documents without words
+    are left out. Each pass works out only what it needs: the classes need no words, the words are split once.
     """
     spark = measured.sparkSession
     path = session.scratch(spark, "quality")
-    docs = measured.where("n_words > 0")
     n = len(_CLASSES) + 1
-    (docs.select("lang", _shares().alias("shares")).groupBy("lang")
-     .agg(F.count("*").alias("n"), *[F.sum(F.get("shares", F.lit(k))).alias(f"s{k}") for k in range(n)])
+    # a condition inside the sums: as a filter it would be pushed below the classes and work them out twice
+    own = lambda x: F.when(F.col("has_words"), x)
+    (measured.select("lang", (F.col("word_chars") > 0).alias("has_words"), _shares().alias("shares")).groupBy("lang")
+     .agg(F.count(own(F.lit(1))).alias("n"), *[F.sum(own(F.get("shares", F.lit(k)))).alias(f"s{k}") for k in range(n)])
      .where(F.col("n") >= LEAST_DOCS).write.parquet(os.path.join(path, "classes")))
     classes = spark.read.parquet(os.path.join(path, "classes"))
-    common = (docs.select("lang", (1 / F.col("n_words")).alias("share"), F.explode(words("lowered")).alias("word"))
+    common = (measured.select("lang", words("lowered").alias("words"))
+              .select("lang", (1 / F.greatest(F.size("words"), F.lit(1))).alias("share"), F.explode("words").alias("word"))
               .groupBy("lang", "word").agg(F.sum("share").alias("share")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "word"))
     top = (common.withColumn("k", rank).where(F.col("k") <= COMMON_WORDS).groupBy("lang")

@@ -52,6 +52,14 @@ def distance(p, q):
     return math.sqrt(max(0.0, sum(part(x, y) + part(y, x) for x, y in zip(p, q)) / 2))
 
 
+def test_references_need_no_counted_words(corpus):
+    """The classes are learned without splitting texts, the common words from one split of their own."""
+    measured = quality.measure(corpus, "doc_id", "text", "lang")
+    want = {r["lang"]: r for r in quality.references(measured).collect()}
+    got = {r["lang"]: r for r in quality.references(measured.drop("n_words")).collect()}
+    assert got and got == want
+
+
 def test_quality_distances(spark):
     rng = random.Random(2)
     common = ["the", "of", "and", "to"]
