@@ -72,6 +72,11 @@ def upsert(df: DataFrame, path: str, batch_id: int, keys: list[str], order: list
     write_batch(last_rows(df, keys, order), path, batch_id)
 
 
+def _batches(table: DataFrame) -> int:
+    """How many batches the files of a table are from."""
+    return len({part for file in table.inputFiles() for part in file.split("/") if part.startswith("batch=")})
+
+
 def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[str],
                   deleted: Column | None = None) -> DataFrame:
     """The last row per key over all batches; rows for which ``deleted`` holds are gone.
@@ -79,9 +84,8 @@ def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[s
     Each batch has one row per key, as :func:`upsert` wrote it with the same keys, so a table of a single batch is read as it lies.
     """
     table = spark.read.option("basePath", path).parquet(path)
-    batches = {os.path.basename(os.path.dirname(file)) for file in table.inputFiles()}
     rows = table.drop("batch")
-    if len(batches) > 1:
+    if _batches(table) > 1:
         rows = last_rows(rows, keys, order)
     return rows if deleted is None else rows.where(~deleted)
 
@@ -97,9 +101,13 @@ def dim_upsert(routed: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_dims(spark: SparkSession, path: str) -> DataFrame:
-    """The dimension tables as rows ``sink_table, row_key, cells``."""
-    cells = spark.read.option("basePath", path).parquet(path)
-    return dim_rows(merge_cells(cells.select("sink_table", "row_key", "column", "value", "ts_ms")))
+    """The dimension tables as rows ``sink_table, row_key, cells``.
+
+    A batch has each cell once, as :func:`dim_upsert` wrote it, so the cells of a single batch are read as they lie.
+    """
+    table = spark.read.option("basePath", path).parquet(path)
+    cells = table.select("sink_table", "row_key", "column", "value", "ts_ms")
+    return dim_rows(merge_cells(cells) if _batches(table) > 1 else cells)
 
 
 def delete_keys(dim: DataFrame, keys: DataFrame, key: str = "row_key") -> DataFrame:

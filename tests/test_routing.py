@@ -57,6 +57,15 @@ def test_dim_upsert_over_batches(spark, tmp_path):
     assert got == expected(data)
 
 
+def test_single_batch_is_read_as_it_lies(spark, tmp_path, monkeypatch):
+    data = changes()
+    routed = rt.route_dim_by_config(spark.createDataFrame(data, CHANGE), local_table(spark, ROUTE, ROUTES))
+    sk.dim_upsert(routed, str(tmp_path / "dims"), 0)
+    monkeypatch.setattr(sk, "merge_cells", None)  # cells of one batch need no merge
+    got = {(r.sink_table, r.row_key): r.cells for r in sk.read_dims(spark, str(tmp_path / "dims")).collect()}
+    assert got == expected(data)
+
+
 def test_one_pass_equals_batches(spark):
     data = changes()
     routed = rt.route_dim_by_config(spark.createDataFrame(data, CHANGE), local_table(spark, ROUTE, ROUTES))
