@@ -3,9 +3,11 @@
 Two sets with a Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` elements of each, in any order
 that is the same for all sets; the order here puts shingles first whose hash bucket is seldom used. Documents with the
 same set are one class; classes with the same prefix and size are one group, and only groups are paired. A prefix
-element that several groups share first pairs each of them with one pivot; verified pairs are joined to components.
-Pairs of classes that share an element but lie in different components are then expanded and verified all, so
-no link between components is lost, while a large group of near copies costs no more than one pair per member.
+element that several groups share first pairs each of them with one pivot, and a group with its ``PIVOTS`` most frequent pivots;
+verified pairs are joined to components. Then all groups that share an element and do not lie in one component are compared
+as a whole: where the element stands and a sketch of the sets tell most that are not similar. All pairs of classes
+in different components of what is left are verified, so no link between components is lost, while a large group of near
+copies costs no more than ``PIVOTS`` pairs per member.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens import session
@@ -23,8 +25,11 @@ from marketlens.llm import bloom, words
 from marketlens.llm.components import components
 
 BUCKET_BITS = 18
+SET_ROWS = 500  # rows whose sets are in a task's memory at a time
 _NULL_ID = -(1 << 63)  # stands for a null id
 _SET = ["n", "f1", "f2"]
+SKETCH = 16  # longs of a set's sketch: a bit is set if an element has that place
+PIVOTS = 2  # pivots a group is compared with at first
 
 
 def _bucket_counts(rows: DataFrame, shingle: int) -> np.ndarray:
@@ -69,7 +74,7 @@ def _profiles(rows: DataFrame, levels: np.ndarray, shingle: int, percent: int) -
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, f1, f2, g, prefixes = [], [], [], [], []
+            n, f1, f2, g, prefixes, sketches = [], [], [], [], [], []
             for _, s in _sets(batch, shared.value, shingle):
                 k = prefix_size(len(s), percent) if len(s) else 0
                 marks = words.mix(s)
@@ -78,32 +83,45 @@ def _profiles(rows: DataFrame, levels: np.ndarray, shingle: int, percent: int) -
                 f2.append(int(words.mix(marks ^ np.uint64(0x5851F42D4C957F2D)).sum()))
                 g.append(int(words.mix(marks[:k].sum(keepdims=True) + np.uint64(len(s)))[0]))
                 prefixes.append(s[:k].view(np.int64))
+                places = np.zeros(64 * SKETCH, bool)
+                places[(marks % np.uint64(64 * SKETCH)).astype(np.int64)] = True
+                sketches.append(np.packbits(places, bitorder="little").view("<i8"))
             as_long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int32()), as_long(f1), as_long(f2), as_long(g),
-                 words.ragged(offsets, flat, pa.int64())], names=["doc", "text_hash", *_SET, "gid", "prefix"])
+                 words.ragged(offsets, flat, pa.int64()),
+                 words.ragged(np.arange(len(n) + 1) * SKETCH, np.concatenate([*sketches, np.empty(0, np.int64)]), pa.int64())],
+                names=["doc", "text_hash", *_SET, "gid", "prefix", "sketch"])
 
-    return rows.mapInArrow(profile, "doc long, text_hash long, n int, f1 long, f2 long, gid long, prefix array<long>")
+    return rows.mapInArrow(profile, "doc long, text_hash long, n int, f1 long, f2 long, gid long, prefix array<long>, "
+                                    "sketch array<long>")
+
+
+def _missing(x: str, y: str) -> Column:
+    """Elements that are in the set of sketch ``x`` and surely not in that of ``y``; at least so many."""
+    return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in range(SKETCH)), F.lit(0))
 
 
 def _known_tokens(profiles: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Prefix elements that may be among those of ``pivots``, with their group: token, gid; the join drops the others."""
+    """Prefix elements that may be among those of ``pivots``, with group and place: token, gid, place; the join drops the others."""
     shared = profiles.sparkSession.sparkContext.broadcast(
         bloom.build(pivots.select("token"), lambda batch: words.mix(batch.column(0).to_numpy().view(np.uint64))))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maybe = bloom.reader(shared.value)
+        maybe = bloom.compact_reader(shared.value)
         for batch in batches:
             prefix = batch.column(1)
             offsets = prefix.offsets.to_numpy()
             tokens = prefix.values.to_numpy()[offsets[0]:offsets[-1]]
             gids = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            places = (np.arange(offsets[0], offsets[-1]) - np.repeat(offsets[:-1], np.diff(offsets))).astype(np.int32)
             some = maybe(words.mix(tokens.view(np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[some]), pa.array(gids[some])], names=["token", "gid"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[some]), pa.array(gids[some]), pa.array(places[some])],
+                                             names=["token", "gid", "place"])
 
-    return profiles.select("gid", "prefix").mapInArrow(pick, "token long, gid long")
+    return profiles.select("gid", "prefix").mapInArrow(pick, "token long, gid long, place int")
 
 
 def _filter_keys(batch: pa.RecordBatch, doc: int, text_hash: int) -> np.ndarray:
@@ -121,16 +139,17 @@ def _wanted_sets(rows: DataFrame, wanted: DataFrame, levels: np.ndarray, shingle
     shared = rows.sparkSession.sparkContext.broadcast((packed, levels))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maybe = bloom.reader(shared.value[0])
+        maybe = bloom.compact_reader(shared.value[0])
         for batch in batches:
             keys = _filter_keys(batch, 0, 2)
             once = np.unique(keys, return_index=True)[1]  # repeated rows of a batch have one set
             some = batch.take(pa.array(np.sort(once[maybe(keys[once])])))
-            sets = [s.view(np.int64) for _, s in _sets(some, shared.value[1], shingle)]
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), words.ragged(offsets, flat, pa.int64())],
-                                             names=["doc", "text_hash", "elements"])
+            for lo in range(0, some.num_rows, SET_ROWS):
+                part = some.slice(lo, SET_ROWS)
+                sets = [s.view(np.int64) for _, s in _sets(part, shared.value[1], shingle)]
+                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), words.ragged(offsets, np.concatenate(sets), pa.int64())],
+                                                 names=["doc", "text_hash", "elements"])
 
     rows.mapInArrow(collect, "doc long, text_hash long, elements array<long>").write.parquet(path)
     return rows.sparkSession.read.parquet(path)
@@ -183,7 +202,8 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
                        F.col(text).cast("string").alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     levels = _levels(_bucket_counts(rows.select("doc", "text"), shingle))
     profiles = kept(_profiles(rows, levels, shingle, percent), "profiles")
-    classes = kept(profiles.where("n > 0").groupBy(*_SET, "gid").agg(F.min(F.struct("doc", "text_hash")).alias("first"))
+    classes = kept(profiles.where("n > 0").groupBy(*_SET, "gid")
+                   .agg(F.min(F.struct("doc", "text_hash")).alias("first"), F.first("sketch").alias("sketch"))
                    .withColumn("cid", F.monotonically_increasing_id()), "classes")
     members = classes.select("gid", "cid", "n")
     postings = profiles.select(F.explode("prefix").alias("token"), "gid")
@@ -192,7 +212,9 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
     shared = kept(_known_tokens(profiles, pivots).join(pivots, "token").distinct(), "shared")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
     leaders = members.groupBy("gid").agg(F.min("cid").alias("cid"), F.min("n").alias("n"))
-    groups = shared.where("gid <> pivot").select("gid", "pivot").distinct()
+    often = Window.partitionBy("gid").orderBy(F.desc("count"), "pivot")
+    groups = (shared.where("gid <> pivot").groupBy("gid", "pivot").count().withColumn("k", F.row_number().over(often))
+              .where(F.col("k") <= PIVOTS).select("gid", "pivot"))
     across = (groups.join(leaders, "gid").withColumnsRenamed({"cid": "b", "n": "n_b"})
               .join(leaders.withColumnsRenamed({"gid": "pivot", "cid": "a", "n": "n_a"}), "pivot")
               .where(fits(F.col("n_a"), F.col("n_b"))).select("a", "b"))
@@ -201,6 +223,10 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
     pairs = kept(across.unionByName(within).distinct(), "pairs-1")
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
+        of = lambda k: classes.select(*[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "sketch")])
+        most = F.least(F.col("n_a") - _missing("sketch_a", "sketch_b"), F.col("n_b") - _missing("sketch_b", "sketch_a"))
+        pairs = kept(pairs.join(of("a"), F.col("a") == F.col("cid_a")).join(of("b"), (F.col("b") == F.col("cid_b")) & (
+            (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))).select("a", "b"), f"close-{name}")
         nodes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         wanted = kept(nodes.join(classes.select("cid", "first.*"), "cid"), f"wanted-{name}")
         sets = _wanted_sets(rows, wanted, levels, shingle, at(f"sets-{name}"))
@@ -208,22 +234,29 @@ def link(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str =
 
     links = check(pairs, "1")
     labels = components(links)
-    # every class that shares an element with another one, with its component so far
-    crowded = members.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1").select(F.col("gid").alias("token"), "gid")
-    cells = shared.select("token", "gid").unionByName(crowded)  # classes of one group share their whole prefix
-    single = (cells.join(members, "gid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-              .select("token", "cid", "gid", "n", F.coalesce("label", "cid").alias("label")))
-    mixed = (single.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-             .select("token"))
-    open_ = kept(single.join(mixed, "token"), "open")
-    left, right = (open_.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("cid", "n", "label", "gid")]) for k in (1, 2))
-    # of the prefix that ends first, all elements the sets share are in both prefixes, so there is a least number of them
-    enough = F.expr(f"({percent} * (n1 + n2) + {99 + percent}) div {100 + percent} "
-                    f"- greatest(({percent} * n1 + 99) div 100, ({percent} * n2 + 99) div 100) + 1")
-    more = (left.join(right, "token").where((F.col("cid1") < F.col("cid2")) & (F.col("label1") != F.col("label2"))
-                                            & fits(F.col("n1"), F.col("n2")))
-            .groupBy(F.col("cid1").alias("a"), F.col("cid2").alias("b"), "n1", "n2", (F.col("gid1") == F.col("gid2")).alias("same"))
-            .agg(F.countDistinct("token").alias("k")).where(F.col("same") | (F.col("k") >= enough)).select("a", "b"))
+    # groups are compared as a whole, by the least and greatest component their classes lie in so far: a row per group and element
+    placed = kept(members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+                  .select("cid", "gid", "n", F.coalesce("label", "cid").alias("label")), "placed")
+    bits = lambda fn: F.array(*[fn(F.get("sketch", F.lit(i))) for i in range(SKETCH)])
+    spans = kept(placed.join(classes.select("cid", "sketch"), "cid").groupBy("gid").agg(
+        F.min("n").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+        bits(F.bit_and).alias("in_all"), bits(F.bit_or).alias("in_any")), "spans")
+    cells = shared.select("token", "gid", "place").join(spans, "gid")
+    mixed = cells.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("token")
+    open_ = kept(cells.join(mixed, "token"), "open")
+    left, right = (open_.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("gid", "n", "low", "high", "place", "in_all", "in_any")])
+                   for k in (1, 2))
+    # all elements that two sets share stand at or behind the first of them, and what a sketch alone has is not shared
+    enough = F.expr(f"({percent} * (n1 + n2) + {99 + percent}) div {100 + percent}")
+    apart = F.least("low1", "low2") < F.greatest("high1", "high2")
+    near = left.join(right, (left["token"] == right["token"]) & (F.col("gid1") < F.col("gid2")) & apart & fits(F.col("n1"), F.col("n2"))
+                     & (F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= enough)
+                     & (F.col("n1") - _missing("in_all1", "in_any2") >= enough)).select("gid1", "gid2").distinct()
+    near = near.unionByName(spans.where("low < high").select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2")))
+    of = lambda k: placed.select(*[F.col(c).alias(f"{c}{k}") for c in ("cid", "gid", "label")])
+    more = (near.join(of(1), "gid1").join(of(2), "gid2")
+            .where((F.col("label1") != F.col("label2")) & ((F.col("gid1") != F.col("gid2")) | (F.col("cid1") < F.col("cid2"))))
+            .select(F.least("cid1", "cid2").alias("a"), F.greatest("cid1", "cid2").alias("b")))
     more = kept(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"),
                 "pairs-2")
     if not more.isEmpty():

@@ -66,6 +66,18 @@ def test_chains_of_near_copies(spark):
     assert Counter((r["doc"], r["n_shingles"], r["first_doc"]) for r in got) == groups(rows, 3, 80)
 
 
+def test_group_of_near_copies_is_compared_as_a_whole(spark, monkeypatch, tmp_path):
+    """Groups of many classes that share prefix elements across components make a row per group and element, not per class."""
+    monkeypatch.setattr(jaccard_join.session, "scratch", lambda _, label: str(tmp_path / label))
+    many = [" ".join(f"c{k}" for k in some) for some in itertools.combinations(range(10), 3)][::2]
+    rows = [(1000 * g + i, " ".join([*[f"u{(20 * g + k) % 60}" for k in range(40)], tail])) for g in range(3) for i, tail in enumerate(many)]
+    rows += [(9000 + i, " ".join(f"c{k}" for k in range(10))) for i in range(300)]
+    got = jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1, percent=80).collect()
+    assert Counter((r["doc"], r["n_shingles"], r["first_doc"]) for r in got) == groups(rows, 1, 80)
+    open_ = spark.read.parquet(str(tmp_path / "jaccard" / "open"))
+    assert 0 < open_.count() <= 3 * open_.select("token").distinct().count()
+
+
 def test_one_of_each_group_stays(corpus, nothing):
     kept = jaccard_join.deduplicate(corpus)
     assert kept.columns == corpus.columns
