@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pathlib
 import random
 import time
 
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 from test_keyed import FACTS, ORDER, SCHEMA, T0, facts, logs
 from test_streams import _held, drain, stream_of  # noqa: F401
 
+from marketlens.catalog.streams import drained
 from marketlens.operators import keyed, routing as rt
 from marketlens.plans import windows as wd
 from marketlens.session import ROCKSDB_PROVIDER, settings
@@ -252,3 +254,110 @@ def test_config_as_a_stream_by_pieces_of_time(spark, stream_of, tmp_path, drain)
         if last[1] != "d":
             want.append((t, f"s{last[0]}"))
     assert rows(got.select("ts_ms", "sink_table")) == sorted(want, key=repr)
+
+
+class _List:
+    """A list state that counts how it is written."""
+
+    def __init__(self):
+        self.rows, self.puts, self.bytes = [], 0, 0
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows, self.puts = list(rows), self.puts + 1
+        self.bytes += sum(len(r[0]) for r in rows)
+
+    def appendList(self, rows):
+        self.rows += rows
+        self.bytes += sum(len(r[0]) for r in rows)
+
+    def clear(self):
+        self.rows = []
+
+
+class _Handle:
+    def __init__(self):
+        self.state = _List()
+
+    def getListState(self, name, schema):
+        return self.state
+
+    def listTimers(self):
+        return iter(())
+
+    def registerTimer(self, ms):
+        pass
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _through(rule, batches, grows):
+    """What a rule gives out for one bucket, batch by batch, and its state."""
+    handle, rule.grows = _Handle(), grows
+    rule.init(handle)
+    found = []
+    for n, batch in enumerate(batches):
+        out = [df.astype(object).where(df.notna(), None) for df in rule.handleInputRows((0,), iter([batch]), _Clock(T0 + n * 1000))]
+        found.append(sorted(tuple(map(str, r)) for df in out for r in df.itertuples(index=False)))
+    return found, handle.state, rule.load()
+
+
+@pytest.mark.parametrize("kind", ["retract", "first"])
+@pytest.mark.parametrize("keep_ms", [None, 20_000, bk.DAY_MS])
+def test_state_that_grows_is_added_to(spark, kind, keep_ms):
+    """A micro-batch writes the rows it adds, not the whole state again; what comes out and what is held are the same."""
+    rnd = random.Random(7)
+    names = ["id", "province_id", "split_total_amount", "ts_ms"]
+    schema = StructType.fromDDL("id STRING, province_id STRING, split_total_amount STRING, ts_ms BIGINT")
+
+    def batch(n):
+        # Mostly new keys, some old ones with older, equal and newer times, null keys and amounts.
+        keys = [f"k{n}-{i}" for i in range(100)] + [f"k{rnd.randrange(n + 1)}-{rnd.randrange(100)}" for _ in range(20)] + [None, None]
+        return pd.DataFrame([(k, rnd.choice("ab"), rnd.choice(["1", "2.5", None, "x"]), T0 + n * 1000 + rnd.randrange(-2000, 2000))
+                             for k in keys], columns=names)
+
+    batches = [batch(n) for n in range(36)]
+    make = {"retract": lambda: bk.RetractPrevious(schema, "id", ["ts_ms", "split_total_amount"], "split_total_amount", keep_ms),
+            "first": lambda: bk.FirstSeen(schema, ["id"], ["ts_ms"], keep_ms)}[kind]
+    want, plain, kept = _through(make(), batches, False)
+    got, grown, held = _through(make(), batches, True)
+    assert got == want
+    order = kept.columns.tolist()
+    assert rows_of(held, order) == rows_of(kept, order)
+    if keep_ms != 20_000:
+        assert plain.puts == 36 and grown.puts <= 4 and grown.bytes < plain.bytes / 5
+
+
+def rows_of(df, order):
+    return sorted(tuple(map(str, r)) for r in df[order].itertuples(index=False))
+
+
+def test_state_is_compressed(spark):
+    schema = StructType.fromDDL("id STRING, ts_ms BIGINT")
+    df = pd.DataFrame({"id": [f"line {i // 7}-{i % 7}" for i in range(5000)], "ts_ms": range(T0, T0 + 5000)})
+    chunks = bk.packed(df, schema)
+    assert sum(len(c[0]) for c in chunks) < 60_000  # 140,000 as plain Arrow
+    assert bk.unpacked(chunks, schema).astype({"ts_ms": "int64"}).equals(df)
+
+
+def test_shuffle_files_of_a_micro_batch_go_with_it(spark, stream_of):  # noqa: F811
+    """A drained stream leaves no shuffle files of its micro-batches behind."""
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {f for d in dirs for f in pathlib.Path(d).rglob("shuffle_*.data")}
+    df = spark.createDataFrame(facts(200), FACTS)
+    stream = stream_of(df, parts=4)
+    before = files()
+    drained(spark, bk.bucketed(stream, ["id"], bk.RetractPrevious(stream.schema, "id", ["ts_ms"], "split_total_amount"), stream.schema, buckets=4))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
