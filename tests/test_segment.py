@@ -6,6 +6,7 @@ import functools
 import random
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,17 @@ def test_the_cost_of_a_letter_is_no_python_call():
     finally:
         sys.setprofile(None)
     assert calls < sum(map(len, texts)) / 4
+
+
+def test_words_of_a_block_only_are_held_at_a_time(monkeypatch):
+    """A batch of many texts becomes Arrow lists block by block, so that its words are never all Python objects at once."""
+    monkeypatch.setattr(sg, "BLOCK", 3_000)
+    cutter, sizes, words_in = sg.Cutter({"the": 1.0, "then": 0.5, "end": 1.0}), [], sg.Cutter.words_in
+    monkeypatch.setattr(sg.Cutter, "words_in", lambda self, texts, spaced=False: sizes.append(sum(len(t or "") for t in texts)) or words_in(self, texts, spaced))
+    texts = ["thenendthe" * 20, None, "", "Ä end"] * 100 + ["the" * 5_000, "end"]
+    found = cutter.arrays(pa.array(texts), True)
+    assert found.to_pylist() == words_in(cutter, texts, True)
+    assert len(sizes) >= 8 and sorted(sizes)[-2] <= 3_000 and max(sizes) == 15_000
+    assert cutter.arrays(pa.array(texts)[100:103], True).to_pylist() == words_in(cutter, texts[100:103], True)
+    assert cutter.arrays(pa.array([], pa.string())).to_pylist() == []
+    assert cutter.arrays(pa.array([None, None], pa.string())).to_pylist() == [[], []]
